@@ -7,6 +7,7 @@ whole-stage code generation and never aborts on dirty input.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -111,13 +112,23 @@ def month_start(year: str | Column, month: str | Column) -> Column:
 
 
 def safe_ratio(
-    num: str | Column, den: str | Column, scale: float = 1, digits: int | None = None
+    num: str | Column, den: str | Column, scale: int = 1, digits: int | None = None
 ) -> Column:
-    """``scale * num / den`` as double, NULL on a zero denominator."""
-    ratio = F.lit(float(scale)) * _col(num).cast("double") / F.nullif(
-        _col(den).cast("double"), F.lit(0.0)
-    )
-    return ratio if digits is None else F.round(ratio, digits)
+    """``num / den * scale`` as double, NULL on a zero denominator.
+
+    With ``digits`` the division is done in decimals (inputs of at most 20 digits
+    before and 4 after the point) and rounded half up, without in double.
+    """
+    num, den = _col(num), _col(den)
+    if digits is None:
+        ratio = num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
+        return ratio if scale == 1 else ratio * F.lit(float(scale))
+    exact = "decimal(24,4)"
+    ratio = num.cast(exact) / F.nullif(den.cast(exact), F.lit(Decimal(0)))
+    if scale != 1:
+        # a literal of few digits leaves the product its decimal places
+        ratio = ratio * F.lit(Decimal(scale))
+    return F.round(ratio, digits).cast("double")
 
 
 def money(c: str | Column, digits: int = 2) -> Column:

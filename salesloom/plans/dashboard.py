@@ -101,5 +101,5 @@ def curated_answers(
         "model_quality": lambda: metrics.orderBy(F.desc("trained_at"), F.desc("version")).limit(1)
         .select("lift_top_k", "hits_top_k",
                 F.round(F.col("base_rate") * 100, 2).alias("base_rate_pct")),
-        "risk_of_loss": lambda: at_risk(10),
+        "risk_of_loss": lambda: at_risk(10).drop("state"),
     }

@@ -82,9 +82,10 @@ def queue_with_feedback(
 
 
 def seller_list(queue: DataFrame) -> DataFrame:
-    """Calls and mean score per seller."""
+    """Calls and mean score per seller; the queue's scores have four decimals."""
+    mean = F.avg(F.col("score").cast("decimal(9,4)"))
     return queue.groupBy("seller").agg(
-        F.count(F.lit(1)).alias("contacts"), F.round(F.avg("score"), 3).alias("mean_score")
+        F.count(F.lit(1)).alias("contacts"), F.round(mean, 3).cast("double").alias("mean_score")
     ).orderBy(F.desc("contacts"), "seller")
 
 

@@ -42,9 +42,10 @@ def brand_ranking(ctx: Ctx) -> DataFrame:
     """
     brands = order_summary(sold(ctx["fact"]), ["brand"])
     total = F.broadcast(brands.agg(F.sum("revenue").alias("_total")))  # one row by construction
-    return brands.crossJoin(total).select(
-        "brand", "orders", "customers", F.round("revenue", 2).alias("revenue"),
-        F.round("margin", 2).alias("margin"),
+    return brands.crossJoin(total).withColumns({
+        "revenue": F.round("revenue", 2), "margin": F.round("margin", 2),
+    }).select(
+        "brand", "orders", "customers", "revenue", "margin",
         C.safe_ratio("margin", "revenue", 100, 1).alias("margin_pct"),
         C.safe_ratio("revenue", "_total", 100, 2).alias("share_pct"),
     ).orderBy(F.desc("revenue"), "brand")
@@ -61,9 +62,10 @@ def category_margin(ctx: Ctx) -> DataFrame:
     skus = sales.select("category", "sku").distinct().groupBy(
         F.col("category").alias("_category")
     ).agg(F.count(F.lit(1)).alias("skus"))
-    return orders.join(skus, F.col("category").eqNullSafe(F.col("_category"))).select(
-        "category", "orders", "skus", F.round("revenue", 2).alias("revenue"),
-        F.round("margin", 2).alias("margin"),
+    return orders.join(skus, F.col("category").eqNullSafe(F.col("_category"))).withColumns({
+        "revenue": F.round("revenue", 2), "margin": F.round("margin", 2),
+    }).select(
+        "category", "orders", "skus", "revenue", "margin",
         C.safe_ratio("margin", "revenue", 100, 1).alias("margin_pct"),
     ).orderBy(F.desc("margin"), "category")
 
@@ -86,12 +88,12 @@ def customers_at_risk(ctx: Ctx, days: int = 90) -> DataFrame:
         C.default("state", C.MISSING_STATE).alias("state"),
         C.default("segment", C.MISSING_SEGMENT).alias("segment"),
     )
-    months_known = F.datediff(today, "_first").cast("double") / 30
+    days_known = F.datediff(today, "_first")
     return quiet.join(who, "customer_id").select(
         "customer_id", "name", "city", "state", "segment", "last_purchase", "days_quiet", "orders",
         F.round("_revenue", 2).alias("revenue"),
         C.safe_ratio("_revenue", "orders", 1, 2).alias("avg_ticket"),
-        C.safe_ratio("_revenue", months_known, 1, 2).alias("est_monthly_avg"),
+        C.safe_ratio("_revenue", days_known, 30, 2).alias("est_monthly_avg"),
     ).orderBy(F.desc("days_quiet"), "customer_id")
 
 

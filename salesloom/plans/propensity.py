@@ -6,9 +6,12 @@ AUC and bands come from running counts, and the trees are Spark's.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -39,6 +42,7 @@ MIN_LIFT = 2.5
 NULLABLE = ("avg_ticket", "margin_share", "mean_gap_days", "gap_stddev_days", "relative_delay",
             "top_brand_share")
 SENTINEL = -1.0
+ROWS_PER_TASK = 50_000  # rows of a training task
 
 
 def stratified_split(
@@ -109,15 +113,21 @@ def train(
     df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
     iterations: int = ITERATIONS, seed: int = SEED,
 ) -> PipelineModel:
-    """Gradient-boosted trees; ``df`` holds raw features, NULLs included."""
+    """Gradient-boosted trees; ``df`` holds raw features, NULLs included.
+
+    Boosting runs a job per tree level over all partitions.  A small training
+    set is put into few partitions, so that those jobs are not all overhead; a
+    large one keeps the partitions it has.
+    """
+    tasks = math.ceil(df.count() / ROWS_PER_TASK) or 1
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=iterations, stepSize=STEP_SIZE,
         maxDepth=MAX_DEPTH, minInstancesPerNode=MIN_ROWS_PER_LEAF, seed=seed,
-        # checkpoints cut the lineage of boosting where the session names a folder
+        # checkpoints cut the lineage of boosting where the context names a folder
         checkpointInterval=10,
     )
     assembler = VectorAssembler(inputCols=model_inputs(features), outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(prepare(df, features))
+    return Pipeline(stages=[assembler, trees]).fit(prepare(df, features).coalesce(tasks))
 
 
 def score(
@@ -130,15 +140,26 @@ def score(
 
 
 def oof_scores(
-    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought", folds: int = FOLDS,
-    iterations: int = ITERATIONS, seed: int = SEED, key: str = "customer_id",
+    store: Store, df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
+    folds: int = FOLDS, iterations: int = ITERATIONS, seed: int = SEED, key: str = "customer_id",
 ) -> DataFrame:
-    """Each row scored by a model that has not seen its fold."""
-    parted = stratified_folds(df, label, folds, seed, key)
-    parts = []
-    for fold in range(folds):
+    """Each row scored by a model that has not seen its fold.
+
+    The folds are written once; their models are fitted side by side, as
+    Spark's own cross validation does it.
+    """
+    parted = store.scratch(stratified_folds(df, label, folds, seed, key))
+
+    @inheritable_thread_target(store.spark)
+    def fit(fold: int) -> DataFrame:
         model = train(parted.where(F.col("fold") != fold), features, label, iterations, seed)
-        parts.append(score(model, parted.where(F.col("fold") == fold), features))
+        return score(model, parted.where(F.col("fold") == fold), features)
+
+    pool = ThreadPool(folds)
+    try:
+        parts = pool.map(fit, range(folds))
+    finally:
+        pool.close()
     return reduce(DataFrame.unionByName, parts)
 
 

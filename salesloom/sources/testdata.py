@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from salesloom.context import Ctx, Store
 from salesloom.functions import columns as C
-from salesloom.plans import conform, silver
 from salesloom.operators.rank import survivor_map
+from salesloom.plans import conform, silver
+from salesloom.plans.features import scoring_set, training_set
 
 AS_OF = dt.date(2001, 8, 2)
 TRAIN_AS_OF = dt.date(2001, 7, 25)
@@ -218,8 +219,7 @@ def raw_feedback(events: DataFrame) -> DataFrame:
         "event_id", F.col("user_id").cast("string").alias("customer_id"),
         F.concat(F.lit("seller "), (F.col("event_id") % 7).cast("string")).alias("seller"),
         status.alias("status"), comment.alias("comment"),
-        (F.col("ts").cast("timestamp") - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS"))
-        .alias("recorded_at"),
+        (F.col("ts") - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")).alias("recorded_at"),
         F.lit(None).cast("string").alias("reference"),
     )
 
@@ -272,5 +272,7 @@ def context(
         "visits": lambda c: visits(c["src.events"]),
         "assignments": lambda c: silver.assignment_state(c["raw.assignments"], c["sellers"]),
         "fact": fact,
+        "features.train": lambda c: c.store.table("features_train", lambda: training_set(c)),
+        "features.score": lambda c: c.store.table("features_score", lambda: scoring_set(c)),
     }
     return Ctx(spark, tables, as_of, train_as_of, Store(spark, sf_dir))
