@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -11,6 +13,7 @@ def make_session() -> SparkSession:
             "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false", "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="salesloom-warehouse-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
