@@ -415,7 +415,7 @@ def q_arrival_summary(ctx: Ctx) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # conformed tables
-    "sales_fact": lambda c: c["fact"].drop("unit_price"),
+    "sales_fact": lambda c: c["fact"].drop("unit_price", "launch_date"),
     "sales_fact_totals": lambda c: conform.control_totals(c["fact"]),
     "dim_customer": lambda c: conform.dim_customer(c).drop("district"),
     "dim_product": lambda c: conform.dim_product(c).drop("unit", "list_price"),
@@ -426,7 +426,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "clean_tax_id": q_clean_tax_id,
     "clean_flags": q_clean_flags,
     "stage_map": q_stage_map,
-    "dedup_customers": lambda c: c["customers"].drop("district", "tax_id_valid"),
+    "dedup_customers": lambda c: silver.clean_customers(c["raw.customers"], ids_unique=True).drop(
+        "district", "tax_id_valid"),
     "dedup_id_map": lambda c: c["customer_map"],
     "remapped_fact_totals": q_survivor_fact,
     "discontinued_flag": q_discontinued,

@@ -106,12 +106,12 @@ def abc_classes(
     """
     totals = df.groupBy(key).agg(measure.alias("total"))
     running = prefix_sum(store, totals, "total", {"part": F.sum("total")}, **how)
-    grand = running.agg(F.sum("part").cast("double").alias("_grand"))
-    share = F.col("part_running").cast("double") / F.nullif(F.col("_grand"), F.lit(0.0))
+    grand = running.agg(F.sum("part").cast("double")).scalar()
+    share = F.col("part_running").cast("double") / F.nullif(grand, F.lit(0.0))
     chain = F.when(share <= cuts[0], labels[0])
     for cut, label in zip(cuts[1:], labels[1:]):
         chain = chain.when(share <= cut, label)
-    classes = running.crossJoin(F.broadcast(grand)).select(  # one row by construction
+    classes = running.select(
         F.col("total").alias("_total"), share.alias("running_share"),
         chain.otherwise(labels[-1]).alias("abc_class"),
     )
@@ -146,8 +146,7 @@ def quantile_edges(
         store, df.where(F.col(col).isNotNull()), col, {"n": F.count(F.lit(1))},
         descending=False, **how,
     )
-    total = runs.agg(F.sum("n").alias("_total"))
-    runs = runs.crossJoin(F.broadcast(total))  # one row by construction
+    runs = runs.withColumn("_total", runs.agg(F.sum("n")).scalar())
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(p))

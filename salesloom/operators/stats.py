@@ -42,13 +42,13 @@ def auc(
 
 def lift_at_k(df: DataFrame, score: str, label: str, tie: str, k: int = 200) -> DataFrame:
     """Hits and precision of the ``k`` best scores against the base rate, one row."""
-    base = df.agg(F.avg(F.col(label).cast("double")).alias("base_rate"))
+    base = df.agg(F.avg(F.col(label).cast("double"))).scalar()
     top = (
         df.orderBy(F.col(score).desc_nulls_last(), F.col(tie)).limit(k)
         .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col(label).cast("bigint")).alias("hits"),
              F.avg(F.col(label).cast("double")).alias("precision"))
     )
-    return top.crossJoin(F.broadcast(base)).withColumn(  # one row by construction
+    return top.withColumn("base_rate", base).withColumn(
         "lift", F.col("precision") / F.nullif(F.col("base_rate"), F.lit(0.0))
     )
 
@@ -62,15 +62,12 @@ def score_bands(
     Edges that coincide leave the bands between them empty.
     """
     probs = [i / len(names) for i in range(1, len(names))]
-    edges = quantile_edges(store, df, score, probs, **how)
-    chain = F.when(F.col(score) <= F.col("q0"), names[0])
+    edges = quantile_edges(store, df, score, probs, **how).select(F.struct("*")).scalar()
+    chain = F.when(F.col(score) <= edges["q0"], names[0])
     for i, name in enumerate(names[1:-1], start=1):
-        chain = chain.when(F.col(score) <= F.col(f"q{i}"), name)
+        chain = chain.when(F.col(score) <= edges[f"q{i}"], name)
     chain = chain.when(F.col(score).isNotNull(), names[-1])
-    return (
-        df.crossJoin(F.broadcast(edges))  # one row by construction
-        .select(*df.columns, chain.alias(out))
-    )
+    return df.withColumn(out, chain)
 
 
 def calibration(df: DataFrame, score: str, label: str, band: str = "band") -> DataFrame:

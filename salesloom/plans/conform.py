@@ -93,7 +93,8 @@ def sales_fact(ctx: Ctx, remap_customers: bool = False) -> DataFrame:
 
     Returns stay in with a negative quantity, hence negative revenue and cost.
     Lines of customers that lost the deduplication drop out unless
-    ``remap_customers`` moves them to the surviving id.
+    ``remap_customers`` moves them to the surviving id.  The launch date of the
+    product comes along, so that no reader joins the lines to the catalogue again.
 
     Customers join the orders before the lines do: that way the lines, by far
     the largest input, are shuffled once by order and once by SKU only.  No
@@ -110,7 +111,9 @@ def sales_fact(ctx: Ctx, remap_customers: bool = False) -> DataFrame:
         "customer_id", F.col("name").alias("customer_name"), "segment", "city", "state"
     )
     headers = orders.join(buyers, "customer_id")
-    products = ctx["products"].select("sku", "category", "brand", "scent_note", "unit_cost")
+    products = ctx["products"].select(
+        "sku", "category", "brand", "scent_note", "launch_date", "unit_cost"
+    )
     lines = ctx["items"]
     if "seller_id" in lines.columns:  # sources that record the seller per line
         headers = headers.drop("seller_id")
@@ -121,7 +124,8 @@ def sales_fact(ctx: Ctx, remap_customers: bool = False) -> DataFrame:
         C.default("segment", C.MISSING_SEGMENT).alias("segment"),
         C.default("city", C.MISSING_CITY).alias("city"),
         C.default("state", C.MISSING_STATE).alias("state"),
-        "sku", "category", "brand", "scent_note", "quantity", "unit_price", "revenue",
+        "sku", "category", "brand", "scent_note", "launch_date", "quantity", "unit_price",
+        "revenue",
         cost.alias("cost"), (F.col("revenue") - cost).cast("decimal(18,4)").alias("margin"),
         "is_return",
     )

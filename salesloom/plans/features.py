@@ -76,17 +76,16 @@ def buying_rhythm(ctx: Ctx, as_of: dt.date, window_days: int = 90) -> DataFrame:
 
 def purchase_mix(ctx: Ctx, as_of: dt.date, launch_days: int = 120) -> DataFrame:
     """Distinct SKUs, brands, categories, top-brand revenue and launch purchases."""
+    new = (F.col("launch_date") >= F.date_sub(F.lit(as_of), launch_days)) & (
+        F.col("launch_date") < F.lit(as_of)
+    )
     by_sku = sales_between(ctx, None, as_of).groupBy(
         "customer_id", "sku", "brand", "category"
-    ).agg(F.sum("revenue").alias("revenue"))
-    launches = ctx["products"].where(
-        (F.col("launch_date") >= F.date_sub(F.lit(as_of), launch_days))
-        & (F.col("launch_date") < F.lit(as_of))
-    ).select("sku", F.lit(1).alias("_launch"))
-    by_brand = by_sku.join(launches, "sku", "left").groupBy("customer_id", "brand").agg(
+    ).agg(F.sum("revenue").alias("revenue"), F.max(new.cast("int")).alias("launch"))
+    by_brand = by_sku.groupBy("customer_id", "brand").agg(
         F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("skus"),
         F.collect_set("category").alias("categories"),  # at most the catalogue's categories
-        F.max("_launch").alias("launch"),
+        F.max("launch").alias("launch"),
     )
     return by_brand.groupBy("customer_id").agg(
         F.sum("skus").alias("distinct_skus"),

@@ -127,7 +127,11 @@ def week_kpis(
         F.max("reference").alias("queue_reference"), F.count(F.lit(1)).alias("worked"),
         F.count_if(F.col("status") == SOLD).alias("sold"),
     )
-    # three one-row inputs; an untrained model leaves its columns empty
-    return calls.join(quality, F.lit(True), "left").crossJoin(made).withColumn(
+    # one row each, put side by side; an untrained model leaves its columns empty
+    trained, recorded = (df.select(F.struct("*")).scalar() for df in (quality, made))
+    return calls.select(
+        "*", *[trained[c].alias(c) for c in quality.columns],
+        *[recorded[c].alias(c) for c in made.columns],
+    ).withColumn(
         "expected_conversion_pct", safe_ratio("hits_top_k", "contacts", 100, 1)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.context import Ctx
@@ -27,27 +27,29 @@ def monthly_revenue(ctx: Ctx) -> DataFrame:
         C.safe_ratio("revenue", "lines", 1, 2).alias("avg_item_value"),
         C.safe_ratio("revenue", "orders", 1, 2).alias("avg_ticket"),
     )
-    # a global maximum as an aggregate, not as a window over one partition
-    best = F.broadcast(months.agg(F.max("revenue").alias("_best")))  # one row by construction
-    return months.crossJoin(best).select(
+    # a window over everything sees one row per month of the calendar, and the
+    # sales are read once
+    best = F.max("revenue").over(Window.partitionBy())
+    return months.select(
         *months.columns, C.safe_ratio("margin", "revenue", 100, 1).alias("margin_pct"),
-        F.when(F.col("revenue") == F.col("_best"), PEAK_LABEL).otherwise("").alias("peak_label"),
+        F.when(F.col("revenue") == best, PEAK_LABEL).otherwise("").alias("peak_label"),
     ).orderBy(F.desc("year"), F.desc("month"))
 
 
 def brand_ranking(ctx: Ctx) -> DataFrame:
     """Revenue, margin and share of the total per brand.
 
-    The total is the sum over the brands, so the fact is read once.
+    The total is a scalar of its own: a scan of two columns without a shuffle,
+    where a sum over the brands would repeat their aggregation.
     """
-    brands = order_summary(sold(ctx["fact"]), ["brand"])
-    total = F.broadcast(brands.agg(F.sum("revenue").alias("_total")))  # one row by construction
-    return brands.crossJoin(total).withColumns({
+    sales = sold(ctx["fact"])
+    total = sales.agg(F.sum("revenue")).scalar()
+    return order_summary(sales, ["brand"]).withColumns({
         "revenue": F.round("revenue", 2), "margin": F.round("margin", 2),
     }).select(
         "brand", "orders", "customers", "revenue", "margin",
         C.safe_ratio("margin", "revenue", 100, 1).alias("margin_pct"),
-        C.safe_ratio("revenue", "_total", 100, 2).alias("share_pct"),
+        C.safe_ratio("revenue", total, 100, 2).alias("share_pct"),
     ).orderBy(F.desc("revenue"), "brand")
 
 
@@ -98,22 +100,23 @@ def customers_at_risk(ctx: Ctx, days: int = 90) -> DataFrame:
 
 
 def launch_effect(ctx: Ctx, days: int = 120) -> DataFrame:
-    """Sales per SKU and day since its launch, with the phase of the launch."""
-    launched = ctx["products"].where(F.col("launch_date").isNotNull()).select(
-        "sku", F.col("name").alias("product_name"), "launch_date"
-    )
+    """Sales per SKU and day since its launch, with the phase of the launch.
+
+    The fact carries the launch date; product names join the aggregate.
+    """
+    names = ctx["products"].select("sku", F.col("name").alias("product_name"))
     since = F.datediff("order_date", "launch_date")
     phase = (
         F.when(F.col("days_since_launch") < 0, PHASE_BEFORE)
         .when(F.col("days_since_launch") <= days, PHASE_EARLY).otherwise(PHASE_LATE)
     )
     return (
-        sold(ctx["fact"]).join(launched, "sku").withColumn("days_since_launch", since)
-        .groupBy("sku", "product_name", "brand", "category", "launch_date", "days_since_launch")
+        sold(ctx["fact"]).where(F.col("launch_date").isNotNull())
+        .groupBy("sku", "brand", "category", "launch_date", since.alias("days_since_launch"))
         .agg(F.countDistinct("order_id").alias("orders"),
              F.round(F.sum("revenue"), 2).alias("revenue"),
              F.round(F.sum("margin"), 2).alias("margin"))
-        .withColumn("phase", phase)
+        .withColumn("phase", phase).join(names, "sku")
         .orderBy("sku", "days_since_launch")
     )
 
@@ -125,8 +128,7 @@ def stockout_by_brand(ctx: Ctx) -> DataFrame:
     2024-02-01.
     """
     stock = ctx["stock"]
-    newest = F.broadcast(stock.agg(F.max("snapshot_on").alias("_newest")))  # one row
-    latest = stock.join(newest, F.col("snapshot_on") == F.col("_newest"))
+    latest = stock.where(F.col("snapshot_on") == stock.agg(F.max("snapshot_on")).scalar())
     brands = ctx["products"].select("sku", "brand")
     return (
         latest.select("sku", "stock_out").join(brands, "sku", "left")

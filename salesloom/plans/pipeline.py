@@ -37,7 +37,8 @@ FACT_COMMENTS = {
     "customer_id": "Surviving customer", "customer_name": "Standardised customer name",
     "segment": "Customer segment", "city": "Customer city", "state": "Customer state",
     "sku": "Product", "category": "Product category", "brand": "Product brand",
-    "scent_note": "Main scent note", "quantity": "Units, negative on a return",
+    "scent_note": "Main scent note", "launch_date": "Day the product was launched",
+    "quantity": "Units, negative on a return",
     "unit_price": "Price paid per unit", "revenue": "Quantity times price, negative on a return",
     "cost": "Quantity times unit cost, negative on a return", "margin": "Revenue less cost",
     "is_return": "True when the line is a return",

@@ -85,12 +85,12 @@ def baseline_auc(store: Store, holdout: DataFrame, label: str = "bought", **how)
     ])
     long = holdout.select(label, F.inline(pairs))
     rules = auc(store, long, "rule_score", label, ["rule"], **how).select("rule", "auc")
-    best = F.broadcast(rules.agg(F.max("auc").alias("_best")))  # one row by construction
-    rules = rules.crossJoin(best).withColumn("is_best", F.col("auc") == F.col("_best"))
+    rules = store.scratch(rules)  # three rows, read twice
+    rules = rules.withColumn("is_best", F.col("auc") == rules.agg(F.max("auc")).scalar())
     coin = store.spark.range(1).select(
         F.lit("coin").alias("rule"), F.lit(0.5).alias("auc"), F.lit(False).alias("is_best")
     )
-    return rules.drop("_best").unionByName(coin)
+    return rules.unionByName(coin)
 
 
 def prepare(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -204,12 +204,10 @@ def permutation_importance(
         table.select("repeat", label, "feature_no", array_to_vector("values").alias("features"))
     ).select("repeat", label, "feature_no", vector_to_array("probability")[1].alias("score"))
     aucs = auc(store, scored, "score", label, ["feature_no", "repeat"], **how)
-    base = F.broadcast(  # one row by construction
-        aucs.where(F.col("repeat") == -1).select(F.col("auc").alias("_base"))
-    )
+    base = aucs.where(F.col("repeat") == -1).select("auc").scalar()
     names = F.array(*[F.lit(f) for f in features])
-    drops = aucs.where(F.col("repeat") >= 0).crossJoin(base).select(
-        names[F.col("feature_no")].alias("feature"), (F.col("_base") - F.col("auc")).alias("drop")
+    drops = aucs.where(F.col("repeat") >= 0).select(
+        names[F.col("feature_no")].alias("feature"), (base - F.col("auc")).alias("drop")
     )
     result = drops.groupBy("feature").agg(
         F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")
@@ -245,9 +243,11 @@ def model_metrics(
     by_rule = rules.groupBy().pivot("rule", ["recency", "value", "delay"]).agg(
         F.round(F.first("auc"), 4)
     )
-    by_rule = by_rule.select(*[F.col(c).alias(f"baseline_{c}") for c in by_rule.columns])
-    return quality.crossJoin(gain).crossJoin(by_rule).select(  # one row each
-        F.lit(version).cast("bigint").alias("version"), "*",
+    gained, ruled = (df.select(F.struct("*")).scalar() for df in (gain, by_rule))
+    return quality.select(
+        F.lit(version).cast("bigint").alias("version"), "auc",
+        *[gained[c].alias(c) for c in gain.columns],
+        *[ruled[c].alias(f"baseline_{c}") for c in by_rule.columns],
         F.lit(feature_top).cast("string").alias("feature_top"), trained_at.alias("trained_at"),
     )
 

@@ -33,10 +33,7 @@ def _row(name: str, observed: DataFrame, low: float, high: float) -> DataFrame:
 
 def _difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """|left - right| of two one-row tables."""
-    a, b = left.columns[0], right.columns[0]
-    return left.select(F.col(a).alias("_a")).crossJoin(right.select(F.col(b).alias("_b"))).select(
-        F.abs(F.col("_a") - F.col("_b")).alias("difference")
-    )
+    return left.select(F.abs(F.col(left.columns[0]) - right.scalar()).alias("difference"))
 
 
 def _sum(df: DataFrame, c: str) -> DataFrame:

@@ -38,17 +38,15 @@ def eligible(ctx: Ctx, scores: DataFrame, features: DataFrame) -> DataFrame:
     active = ctx["sellers"].where(F.col("left_on").isNull()).select(
         "seller_id", F.col("name").alias("seller")
     )
-    who = ctx["customers"].select(
-        "customer_id", "name", C.default("city", C.MISSING_CITY).alias("city"),
-        C.default("state", C.MISSING_STATE).alias("state"),
-    )
+    known = ctx["customers"].select("customer_id")
     facts = features.select(
         "customer_id", "avg_ticket", "total_value", "relative_delay", "bought_launch",
         "recency_days", "mean_gap_days",
     )
     return (
         scores.select("customer_id", "score", "band").join(facts, "customer_id")
-        .join(who, "customer_id").join(owners, "customer_id").join(active, "seller_id")
+        .join(known, "customer_id", "left_semi").join(owners, "customer_id")
+        .join(active, "seller_id")
     )
 
 
@@ -112,24 +110,26 @@ def reason() -> Column:
 
 
 def call_queue(
-    ctx: Ctx, scores: DataFrame, features: DataFrame, n: int = QUEUE_SIZE, stored: bool = True
+    ctx: Ctx, scores: DataFrame, features: DataFrame, n: int = QUEUE_SIZE
 ) -> DataFrame:
     """The queue with reason and suggestion.
 
-    The queue is cut first; only the sales of its customers are then read for
-    suggestions.  Its length is known, so it is hinted as the small side of
-    that join up to ``BROADCAST_ROWS`` and left to the optimizer beyond.
+    The queue is cut first; names and the sales suggestions are made from are
+    then looked up for its customers only.  Its length is known, so it is hinted
+    as the small side of those joins up to ``BROADCAST_ROWS`` and left to the
+    optimizer beyond.
     """
-    queue = top_n(eligible(ctx, scores, features), n)
-    if stored:
-        queue = ctx.store.scratch(queue)
-    called = queue.select("customer_id")
-    if n <= BROADCAST_ROWS:
-        called = F.broadcast(called)
+    queue = ctx.store.scratch(top_n(eligible(ctx, scores, features), n))
+    small = F.broadcast if n <= BROADCAST_ROWS else lambda df: df
+    called = small(queue.select("customer_id"))
+    who = ctx["customers"].join(called, "customer_id", "left_semi").select(
+        "customer_id", "name", C.default("city", C.MISSING_CITY).alias("city"),
+        C.default("state", C.MISSING_STATE).alias("state"),
+    )
     offers = suggest_product(
         ctx["fact"].join(called, "customer_id", "left_semi"), ctx.as_of
     ).select("customer_id", "suggestion")
-    return queue.join(offers, "customer_id", "left").select(
+    return queue.join(who, "customer_id").join(offers, "customer_id", "left").select(
         "seller", "position", "customer_id", "name", "city", "state",
         F.round("score", 4).alias("score"), "band", F.round("avg_ticket", 2).alias("avg_ticket"),
         reason().alias("reason"), "suggestion",

@@ -32,15 +32,26 @@ def _text(c: str) -> Column:
     return F.col(c)
 
 
-def standardise_customers(raw: DataFrame) -> DataFrame:
-    """Typed customers, duplicates still in."""
-    return raw.select(
+def _identity_columns() -> list[Column]:
+    return [
         _text("cliente_id").alias("customer_id"),
         C.normalise_tax_id("cnpj").alias("tax_id"),
         C.tax_id_valid("cnpj").alias("tax_id_valid"),
         C.normalise_name("razao_social").alias("name"),
         C.parse_date("data_cadastro").alias("registered_on"),
         C.flag("ativo").alias("active"),
+    ]
+
+
+def standardise_identities(raw: DataFrame) -> DataFrame:
+    """Only what tells customers apart, typed."""
+    return raw.select(*_identity_columns())
+
+
+def standardise_customers(raw: DataFrame) -> DataFrame:
+    """Typed customers, duplicates still in."""
+    return raw.select(
+        *_identity_columns(),
         _text("segmento").alias("segment"), _text("cidade").alias("city"),
         _text("uf").alias("state"), _text("bairro").alias("district"),
     )
@@ -205,10 +216,10 @@ def clean_visits(raw: DataFrame) -> DataFrame:
 
 def stamp(df: DataFrame, source: DataFrame) -> DataFrame:
     """Add when a row was processed and how many rows the source had."""
-    counted = source.agg(F.count(F.lit(1)).alias("_source_rows"))
-    return df.withColumn("_processed_at", F.current_timestamp()).crossJoin(
-        F.broadcast(counted)  # one row by construction
-    )
+    return df.withColumns({
+        "_processed_at": F.current_timestamp(),
+        "_source_rows": source.agg(F.count(F.lit(1))).scalar(),
+    })
 
 
 def conversion_losses(raw: DataFrame, typed: Mapping[str, Column]) -> DataFrame:

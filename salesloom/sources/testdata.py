@@ -40,7 +40,19 @@ def _br_or_iso(date: Column, key: str) -> Column:
 
 
 def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Customers as dirty text: shared, punctuated and blank tax ids, mixed dates.
+    """Customers as dirty text with the place they are in."""
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return raw_identities(customer).join(
+        places, F.col("_nation") == F.col("n_nationkey"), "left"
+    ).select(
+        "cliente_id", "cnpj", "razao_social", "data_cadastro", "ativo", "segmento",
+        F.col("n_name").alias("cidade"), F.col("r_name").alias("uf"),
+        F.lit(None).cast("string").alias("bairro"),
+    )
+
+
+def raw_identities(customer: DataFrame) -> DataFrame:
+    """Shared, punctuated and blank tax ids, mixed dates.
 
     Every key divisible by 50 takes the tax id of its successor.
     """
@@ -53,15 +65,13 @@ def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
         F.substring(digits, 6, 3), F.lit("/"), F.substring(digits, 9, 3), F.lit(" "),
     )
     tax_id = F.when(key % 97 == 5, F.lit(" - ")).when(key % 3 == 0, dotted).otherwise(digits)
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    return customer.select(
         key.alias("cliente_id"), tax_id.alias("cnpj"),
         F.concat(F.lit("  "), F.upper(F.regexp_replace("c_name", "#", "   ")), F.lit(" "))
         .alias("razao_social"),
         _br_or_iso(_date_plus("1994-01-01", key * 7 % 365), "c_custkey").alias("data_cadastro"),
         F.when(key % 10 == 3, "N").when(key % 10 == 4, F.lit(None)).otherwise(" S").alias("ativo"),
-        F.col("c_mktsegment").alias("segmento"), F.col("n_name").alias("cidade"),
-        F.col("r_name").alias("uf"), F.lit(None).cast("string").alias("bairro"),
+        F.col("c_mktsegment").alias("segmento"), F.col("c_nationkey").alias("_nation"),
     )
 
 
@@ -184,7 +194,7 @@ def visits(events: DataFrame) -> DataFrame:
 def raw_assignments(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     """Customers to sellers: mostly one open row; some closed, doubled or unknown."""
     key = F.col("c_custkey")
-    count = F.broadcast(supplier.agg(F.count(F.lit(1)).alias("_n")))  # one row by construction
+    count = supplier.agg(F.count(F.lit(1))).scalar()
     first = F.struct(
         F.lit(0).alias("slot"),
         F.when(key % 17 == 0, F.col("_n") + key % 5).otherwise(key % F.col("_n")).alias("seller"),
@@ -194,7 +204,7 @@ def raw_assignments(customer: DataFrame, supplier: DataFrame) -> DataFrame:
         F.lit(1).alias("slot"), ((key + 1) % F.col("_n")).alias("seller"),
         F.lit(None).cast("date").alias("ended_on"),
     ))
-    return customer.crossJoin(count).select(
+    return customer.withColumn("_n", count).select(
         "c_custkey", F.inline(F.array_compact(F.array(first, second)))
     ).select(
         (F.col("c_custkey") * 2 + F.col("slot")).alias("assignment_id"),
@@ -247,11 +257,15 @@ def context(
         return raw_customers(c["src.customer"], c["src.nation"], c["src.region"])
 
     def customer_map(c: Ctx) -> DataFrame:
-        rows = silver.standardise_customers(c["raw.customers"]).select(
+        rows = silver.standardise_identities(raw_identities(c["src.customer"])).select(
             silver.identity_key().alias("_identity"), "customer_id", "registered_on"
         )
         return survivor_map(rows, ["_identity"], silver.survivor_order(), "customer_id")
 
+    def survivors_of(c: Ctx) -> DataFrame:
+        # c_custkey is a primary key
+        return silver.clean_customers(c["raw.customers"], ids_unique=True)
+
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
     tables = {f"src.{n}": src(n) for n in names}
     tables |= {
@@ -259,8 +273,7 @@ def context(
         "raw.opportunities": lambda c: raw_opportunities(c["src.events"]),
         "raw.assignments": lambda c: raw_assignments(c["src.customer"], c["src.supplier"]),
         "raw.feedback": lambda c: raw_feedback(c["src.events"]),
-        # c_custkey is a primary key
-        "customers": lambda c: silver.clean_customers(c["raw.customers"], ids_unique=True),
+        "customers": lambda c: c.store.table("customers", lambda: survivors_of(c)),
         "customer_map": customer_map,
         "products": lambda c: products(c["src.part"]),
         "sellers": lambda c: sellers(c["src.supplier"], c["src.nation"]),

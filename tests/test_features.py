@@ -34,7 +34,7 @@ def make(spark, sales=SALES, opportunities=None, visits=None):
     fact = spark.createDataFrame(
         [(*s[:6], Decimal(s[6]), Decimal(s[7]), s[6] < 0) for s in sales], FACT
     ).withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
-    products = spark.createDataFrame(
+    launches = spark.createDataFrame(
         [(1, None), (2, day(-120)), (3, day(-121)), (4, day(0))], "sku int, launch_date date")
     opportunities = opportunities if opportunities is not None else [
         (1, day(-20), day(-3), "Ganha"), (1, day(-20), day(2), "Ganha"),
@@ -46,7 +46,7 @@ def make(spark, sales=SALES, opportunities=None, visits=None):
         (1, day(0), "pedido"),
     ]
     return Ctx(spark, {
-        "fact": fact, "products": products,
+        "fact": fact.join(launches, "sku"),
         "opportunities": spark.createDataFrame(
             opportunities, "customer_id int, opened_on date, closed_on date, stage string"),
         "visits": spark.createDataFrame(
