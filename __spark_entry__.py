@@ -7,7 +7,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,11 +54,14 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema])
 
 
+# A score anybody can recompute, in place of the model's, so that what is built
+# on scores can be compared value by value.
+def rule_score() -> Column:
+    return 1.0 / (1.0 + F.col("recency_days") / 30.0)
+
+
 def rule_scores(ctx: Ctx) -> DataFrame:
-    """A score anybody can recompute, in place of the model's, so that what is
-    built on scores can be compared value by value."""
-    value = 1.0 / (1.0 + F.col("recency_days") / 30.0)
-    scored = ctx["features.score"].select("customer_id", value.alias("score"), "recency_days")
+    scored = ctx["features.score"].select("customer_id", rule_score().alias("score"), "recency_days")
     return score_bands(ctx.store, scored, "score")
 
 
@@ -74,20 +77,20 @@ def accepted_feedback(ctx: Ctx) -> DataFrame:
 
 
 def metrics_row(ctx: Ctx) -> DataFrame:
-    """A metrics table with the quality of the rule score on the training set."""
-    scored = rule_on_training(ctx)
-    gain = lift_at_k(scored, "score", "bought", "customer_id")
-    return gain.select(
-        F.lit(1).cast("bigint").alias("version"), F.round("lift", 2).alias("lift_top_k"),
-        F.col("hits").alias("hits_top_k"), F.round("base_rate", 4).alias("base_rate"),
-        F.lit(dt.datetime(2001, 8, 2)).alias("trained_at"),
-    )
+    """The metrics table, with the rule score in place of a model's."""
+    def build() -> DataFrame:
+        holdout = split(ctx).where("holdout")
+        return propensity.model_metrics(
+            ctx.store, holdout.withColumn("score", rule_score()), rule_on_training(ctx),
+            propensity.baseline_auc(ctx.store, holdout), 1, F.lit(dt.datetime(2001, 8, 2)),
+            feature_top="recency_days",
+        )
+
+    return ctx.store.table("model_metrics", build)
 
 
 def rule_on_training(ctx: Ctx) -> DataFrame:
-    return ctx["features.train"].select(
-        "customer_id", "bought", (1.0 / (1.0 + F.col("recency_days") / 30.0)).alias("score")
-    )
+    return ctx["features.train"].select("customer_id", "bought", rule_score().alias("score"))
 
 
 def split(ctx: Ctx) -> DataFrame:
@@ -214,6 +217,10 @@ def q_calibration(ctx: Ctx) -> DataFrame:
         score_bands(ctx.store, rule_on_training(ctx), "score"), "score", "bought"), 9)
 
 
+def q_gates(ctx: Ctx) -> DataFrame:
+    return propensity.model_gates(metrics_row(ctx)).select("check", "observed", "passed")
+
+
 def q_propensity(ctx: Ctx) -> DataFrame:
     return propensity.propensity_scores(
         ctx.store, trained_model(ctx), ctx["features.score"], version=1
@@ -455,6 +462,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "dq_orphans": q_orphans,
     "dq_mart_conform": quality.mart_conforms,
     "dq_tax_ids": quality.tax_ids,
+    "dq_all": quality.all_checks,
     # features
     "feat_rfm": q_feat("recency_days", "order_frequency", "total_value", "avg_ticket",
                        "total_margin", "margin_share"),
@@ -474,6 +482,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "lift_at_k": q_lift,
     "score_bands": q_bands,
     "calibration": q_calibration,
+    "model_metrics": lambda c: metrics_row(c).drop("trained_at"),
+    "model_gates": q_gates,
     "propensity_scores": q_propensity,
     "oof_scores": q_oof,
     "perm_importance": q_importance,
@@ -496,6 +506,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "followup_by_seller": q_followup,
     "followup_totals": q_followup_totals,
     # dashboard
+    "dash_base": lambda c: dashboard.dashboard_base(c).drop("unit_price", "launch_date"),
     "dash_counters": q_dash(dashboard.counters),
     "dash_counters_filtered": q_dash(
         dashboard.counters, year=2000, segment=["HOUSEHOLD", "MACHINERY"], city=None),

@@ -208,7 +208,7 @@ def sql(body: str, *needs: str) -> str:
     if not order:
         return body
     defined = "WITH " + ",\n".join(f"{n} AS ({COMMON[n][1]})" for n in order)
-    own = body.strip()
+    own = body.strip()  # a body may bring common tables of its own
     return defined + (",\n" + own[4:] if own.startswith("WITH") else "\n" + own)
 
 
@@ -765,3 +765,52 @@ QUERIES: dict[str, str] = {
         SELECT customer_id, tax_id, name, CAST(registered_on AS VARCHAR) AS registered_on, active,
                segment, city, state FROM c_customers""", "c_customers"),
 }
+
+QUERIES["dq_all"] = sql(" UNION ALL ".join([
+    check("revenue_reconciles", """abs((SELECT round(sum(revenue), 2) FROM c_fact)
+        - (SELECT round(sum(net_value), 2) FROM c_orders WHERE NOT cancelled AND customer_id IN
+           (SELECT customer_id FROM c_customers)))""", 0, 0.01),
+    check("tax_id_unique", """(SELECT count(*) - count(DISTINCT tax_id) FROM c_customers
+        WHERE tax_id_valid)""", 0, 0),
+    check("order_date_complete", "(SELECT count(*) FROM c_orders WHERE order_date IS NULL)", 0, 0),
+    check("negative_only_on_returns",
+          "(SELECT count(*) FROM c_fact WHERE revenue < 0 AND NOT is_return)", 0, 0),
+    check("fact_volume", "(SELECT count(*) FROM c_fact)", 140000, 250000),
+    check("order_orphans", """(SELECT count(DISTINCT order_id) FROM c_fact
+        WHERE order_id NOT IN (SELECT order_id FROM c_orders))""", 0, 0),
+    check("customer_orphans", """(SELECT count(DISTINCT customer_id) FROM c_fact
+        WHERE customer_id NOT IN (SELECT customer_id FROM c_customers))""", 0, 0),
+    check("mart_conforms", """abs((SELECT round(sum(revenue), 2) FROM c_fact)
+        - (SELECT round(sum(r), 2) FROM (SELECT sum(revenue) AS r FROM c_fact
+           GROUP BY sku, year, month)))""", 0, 0.01),
+    check("tax_id_length", "(SELECT count(*) FROM c_customers WHERE length(tax_id) <> 14)", 0, 0),
+]), "c_fact", "c_orders", "c_customers")
+
+QUERIES["dash_base"] = sql("""
+    SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date,
+      CAST(revenue AS DOUBLE) AS revenue, CAST(cost AS DOUBLE) AS cost,
+      CAST(margin AS DOUBLE) AS margin, CAST(quantity AS BIGINT) AS quantity),
+      strftime(order_date, '%Y-%m-01') AS month_date FROM c_sold""", "c_sold")
+
+METRICS = f"""
+    m AS (SELECT
+        (SELECT round(auc, 4) FROM ({auc_of('c_split', '1.0 / (1.0 + recency_days / 30.0)',
+                                            HOLDOUT)})) AS auc,
+        (SELECT round(auc, 4) FROM ({auc_of('c_split', '-recency_days', HOLDOUT)}))
+          AS baseline_recency,
+        (SELECT round(auc, 4) FROM ({auc_of('c_split', 'total_value', HOLDOUT)}))
+          AS baseline_value,
+        (SELECT round(auc, 4) FROM ({auc_of('c_split', 'coalesce(relative_delay, 0)', HOLDOUT)}))
+          AS baseline_delay,
+        round(lift, 2) AS lift_top_k, hits AS hits_top_k, round(base_rate, 4) AS base_rate
+      FROM c_quality)"""
+QUERIES["model_metrics"] = sql(f"""
+    WITH {METRICS} SELECT CAST(1 AS BIGINT) AS version, *, 'recency_days' AS feature_top FROM m""",
+    "c_split", "c_quality")
+QUERIES["model_gates"] = sql(f"""
+    WITH {METRICS}
+    SELECT 'auc_beats_rules' AS "check", auc AS observed,
+           auc >= greatest(baseline_recency, baseline_value, baseline_delay) + 0.05 AS passed FROM m
+    UNION ALL SELECT 'auc_plausible', auc, auc < 0.99 FROM m
+    UNION ALL SELECT 'lift_pays', lift_top_k, lift_top_k >= 2.5 FROM m""",
+    "c_split", "c_quality")

@@ -2,8 +2,8 @@
 
 A window without a partition key sorts everything in one task.  Here the rows
 are first grouped to one row per distinct value (ties then share a total, as
-RANGE frames do).  If what is left is small, as counted, one window does it.
-If not, quantile edges cut the value axis into buckets, each bucket is summed
+RANGE frames do).  If the largest group left is small, as counted, a plain
+window does it.  If not, quantile edges cut the value axis into buckets, each bucket is summed
 on its own, and the totals of the buckets before it are added as an offset.
 """
 
@@ -39,7 +39,7 @@ def prefix_sum(
         df.groupBy(*by, order).agg(*[v.alias(name) for name, v in values.items()])
     )
     direction = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
-    if grouped.count() <= single_task_rows:
+    if largest_group(grouped, by) <= single_task_rows:
         w = Window.partitionBy(*by).orderBy(direction)
         return grouped.select("*", *[F.sum(n).over(w).alias(f"{n}_running") for n in values])
 
@@ -71,6 +71,14 @@ def prefix_sum(
     )
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest group, the most a window by ``by`` puts into one task."""
+    if not by:
+        return df.count()
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def _default_buckets(store: Store) -> int:
     return max(32, int(store.spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -121,9 +129,18 @@ def abc_classes(
 
 
 def dense_rank_by(
-    store: Store, df: DataFrame, by: Sequence[str], order: str, out: str = "rank", **how
+    store: Store, df: DataFrame, by: Sequence[str], order: str, out: str = "rank",
+    single_task_rows: int = SINGLE_TASK_ROWS, **how,
 ) -> DataFrame:
-    """``dense_rank`` per ``by`` in descending ``order`` that survives huge groups."""
+    """``dense_rank`` per ``by`` in descending ``order`` that survives huge groups.
+
+    ``df`` is read more than once and should be a stored table.  Groups counted
+    to be small are ranked by a plain window.
+    """
+    if largest_group(df, by) <= single_task_rows:
+        w = Window.partitionBy(*by).orderBy(F.col(order).desc_nulls_last())
+        return df.withColumn(out, F.dense_rank().over(w))
+    how["single_task_rows"] = single_task_rows
     ranks = prefix_sum(store, df, order, {"one": F.lit(1)}, by=by, **how).select(
         *[F.col(c).alias(f"_{c}") for c in by], F.col(order).alias("_order"),
         F.col("one_running").cast("int").alias(out),
