@@ -94,7 +94,8 @@ def rule_on_training(ctx: Ctx) -> DataFrame:
 
 
 def split(ctx: Ctx) -> DataFrame:
-    return propensity.stratified_split(ctx["features.train"])
+    return ctx.store.table(
+        "split", lambda: propensity.stratified_split(ctx["features.train"]))
 
 
 def trained_model(ctx: Ctx):
@@ -185,7 +186,8 @@ def q_feat(*names: str) -> Callable[[Ctx], DataFrame]:
 
 
 def q_split(ctx: Ctx) -> DataFrame:
-    return split(ctx).select("customer_id", "bought", "holdout")
+    return propensity.stratified_split(ctx["features.train"]).select(
+        "customer_id", "bought", "holdout")
 
 
 def q_folds(ctx: Ctx) -> DataFrame:

@@ -809,8 +809,8 @@ QUERIES["model_metrics"] = sql(f"""
     "c_split", "c_quality")
 QUERIES["model_gates"] = sql(f"""
     WITH {METRICS}
-    SELECT 'auc_beats_rules' AS "check", auc AS observed,
-           auc >= greatest(baseline_recency, baseline_value, baseline_delay) + 0.05 AS passed FROM m
+    SELECT 'auc_beats_rules' AS "check", auc AS observed, auc >=
+             greatest(baseline_recency, baseline_value, baseline_delay) + 0.05 AS passed FROM m
     UNION ALL SELECT 'auc_plausible', auc, auc < 0.99 FROM m
     UNION ALL SELECT 'lift_pays', lift_top_k, lift_top_k >= 2.5 FROM m""",
     "c_split", "c_quality")

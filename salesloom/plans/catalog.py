@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# fixed values: status of a table in the coverage report
+WITHOUT_COMMENT = "SEM COMMENT"
+WITH_COMMENT = "OK"
+
 COVERAGE_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("is_view", T.BooleanType(), False),
@@ -72,7 +76,8 @@ def _blank(c: str):
 def comment_coverage(meta: DataFrame) -> DataFrame:
     """Per table: whether it has a comment, columns with and without one."""
     return meta.groupBy("table_name").agg(
-        F.when(F.max(_blank("table_comment")), "SEM COMMENT").otherwise("OK").alias("table_status"),
+        F.when(F.max(_blank("table_comment")), WITHOUT_COMMENT).otherwise(WITH_COMMENT)
+        .alias("table_status"),
         F.count(F.lit(1)).alias("column_count"),
         F.count_if(~_blank("column_comment")).alias("commented"),
         F.count_if(_blank("column_comment")).alias("uncommented"),
@@ -86,9 +91,9 @@ class AuditFailed(AssertionError):
 def audit(coverage: DataFrame, fully_commented: Sequence[str] = ()) -> DataFrame:
     """Raise if a table has no comment or a listed table a column without one."""
     broken = coverage.where(
-        (F.col("table_status") != "OK")
+        (F.col("table_status") != WITH_COMMENT)
         | (F.col("table_name").isin(*fully_commented) & (F.col("uncommented") > 0))
-        if fully_commented else F.col("table_status") != "OK"
+        if fully_commented else F.col("table_status") != WITH_COMMENT
     ).collect()
     if broken:
         raise AuditFailed("; ".join(

@@ -45,19 +45,13 @@ def dim_customer(ctx: Ctx, exclude_cancelled: bool = False) -> DataFrame:
 def dim_product(ctx: Ctx) -> DataFrame:
     """Catalogue with a flag for SKUs that were sold while discontinued.
 
-    A line is discontinued when its product is inactive, so only SKUs that are
-    inactive need to be looked up among the lines; the lines are reduced to
-    distinct SKUs on the map side first.
+    A line is discontinued when its product is inactive, so it is enough to know
+    which SKUs were sold; the lines are reduced to distinct SKUs on the map side.
     """
-    products = ctx["products"]
-    inactive = products.where(~F.col("active")).select("sku")
-    sold = (
-        ctx["items"].join(inactive, "sku", "left_semi").select("sku").distinct()
-        .withColumn("_sold", F.lit(True))
-    )
-    return products.join(sold, "sku", "left").select(
+    sold = ctx["items"].select("sku").distinct().withColumn("_sold", F.lit(True))
+    return ctx["products"].join(sold, "sku", "left").select(
         "sku", "name", "brand", "category", "scent_note", "unit", "unit_cost", "list_price",
-        "launch_date", C.default("_sold", False).alias("discontinued"),
+        "launch_date", (~F.col("active") & C.default("_sold", False)).alias("discontinued"),
         F.col("active").alias("catalogue_active"),
     )
 

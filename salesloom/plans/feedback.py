@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.context import Ctx
 from salesloom.functions.columns import optional_filter, safe_ratio
 from salesloom.operators.contracts import Check, quarantine
 from salesloom.operators.merge import append_history, merge_latest

@@ -16,6 +16,16 @@ from salesloom.plans.marts import sold
 
 QUEUE_SIZE = 200  # fixed value: calls a week
 RECENT_DAYS = 90
+# fixed values: wording of the reasons (numbers go between the parts) and their thresholds
+REASON_AT_RISK = (
+    "Compra a cada ", " dias e esta ha ", " sem pedido. Risco de perder para o concorrente.")
+REASON_DELAYED = ("Esta ", "x mais atrasado que o ritmo dele.")
+REASON_LAUNCH = "Comprou lancamento recente. Alta chance de repetir."
+REASON_LARGE = ("Cliente grande, R$ ", " comprados. Manter proximo.")
+REASON_STEADY = "Dentro do ritmo. Contato de manutencao."
+AT_RISK_DELAY = 3
+LATE_DELAY = 1.5
+LARGE_VALUE = 50000
 BROADCAST_ROWS = 100_000  # a queue up to this length is hinted as the small side
 
 QUEUE_COLUMNS = (
@@ -87,26 +97,28 @@ def suggest_product(fact: DataFrame, as_of: dt.date, days: int = RECENT_DAYS) ->
     ).select("customer_id", F.col("sku").alias("suggestion"), "times_bought")
 
 
+def _sentence(parts: tuple[str, ...], *numbers: Column) -> Column:
+    """Fixed parts with formatted numbers between them."""
+    pieces = [F.lit(parts[0])]
+    for number, part in zip(numbers, parts[1:]):
+        pieces += [number, F.lit(part)]
+    return F.concat(*pieces)
+
+
 def reason() -> Column:
-    """One sentence per customer, the rarest reason first (fixed wording)."""
-    delay, recency = F.col("relative_delay"), F.col("recency_days")
-    return (
-        F.when(delay > 3, F.concat(
-            F.lit("Compra a cada "), F.round("mean_gap_days", 0).cast("int").cast("string"),
-            F.lit(" dias e esta ha "), recency.cast("int").cast("string"),
-            F.lit(" sem pedido. Risco de perder para o concorrente."),
-        ))
-        .when(delay > 1.5, F.concat(
-            F.lit("Esta "), F.format_string("%.1f", delay),
-            F.lit("x mais atrasado que o ritmo dele."),
-        ))
-        .when(F.col("bought_launch") == 1, "Comprou lancamento recente. Alta chance de repetir.")
-        .when(F.col("total_value") > 50000, F.concat(
-            F.lit("Cliente grande, R$ "), F.format_number("total_value", 2),
-            F.lit(" comprados. Manter proximo."),
-        ))
-        .otherwise("Dentro do ritmo. Contato de manutencao.")
-    )
+    """One sentence per customer; the first case that holds, the rarest first."""
+    delay = F.col("relative_delay")
+    whole = "%.0f"
+    cases = [
+        (delay > AT_RISK_DELAY, _sentence(
+            REASON_AT_RISK, F.format_string(whole, F.round("mean_gap_days", 0)),
+            F.format_string(whole, "recency_days"))),
+        (delay > LATE_DELAY, _sentence(REASON_DELAYED, F.format_string("%.1f", delay))),
+        (F.col("bought_launch") == 1, F.lit(REASON_LAUNCH)),
+        (F.col("total_value") > LARGE_VALUE, _sentence(
+            REASON_LARGE, F.format_number("total_value", 2))),
+    ]
+    return F.coalesce(*[F.when(holds, text) for holds, text in cases], F.lit(REASON_STEADY))
 
 
 def call_queue(
