@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
-from salesloom.context import SESSION_CONF, Ctx, shared_root  # noqa: E402
+from salesloom.context import SESSION_CONF, Ctx, shared_root, size_shuffles  # noqa: E402
 from salesloom.functions import columns as C  # noqa: E402
 from salesloom.functions import table_functions as fn  # noqa: E402
 from salesloom.operators.contracts import Check, violation_counts  # noqa: E402
@@ -35,6 +35,7 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
         for name, value in SESSION_CONF.items():
             if name.startswith("spark.sql.adaptive"):
                 spark.conf.set(name, value)
+        size_shuffles(spark, f"{sf_dir}/lineitem.parquet")
         _contexts[key] = testdata.context(spark, sf_dir)
     return _contexts[key]
 

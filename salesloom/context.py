@@ -10,11 +10,13 @@ partition pruned, no lineage to replay when an executor is lost).
 from __future__ import annotations
 
 import datetime as dt
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings a session should carry; all of them leave sizing to AQE.
 SESSION_CONF = {
@@ -36,6 +38,27 @@ def session(app_name: str = "salesloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+SHUFFLE_BYTES = 256 * 1024 * 1024  # aim of a shuffle partition
+SHUFFLE_GROWTH = 2  # shuffled rows take about twice the space of compressed parquet
+MOST_PARTITIONS = 40_000  # beyond that the shuffle's own bookkeeping costs more
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Raise the initial number of shuffle partitions to what the input needs.
+
+    AQE merges partitions that turn out small but cannot cut ordinary ones, so
+    the starting number has to suit the largest shuffle, about the size of the
+    largest input.  Returns the number in effect; it is never lowered.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    total = files.agg(F.sum("length")).first()[0] or 0  # a listing, contents are not read
+    wanted = min(MOST_PARTITIONS, math.ceil(total * SHUFFLE_GROWTH / SHUFFLE_BYTES))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return max(wanted, current)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
