@@ -410,17 +410,12 @@ def q_csv_customers(ctx: Ctx) -> DataFrame:
 
 
 def q_arrival_summary(ctx: Ctx) -> DataFrame:
-    """Bytes and rows of the delivered extracts, per system."""
-    root = delivered(ctx)
-    rows = arrival.file_rows(ctx.spark, f"{root}/crm").agg(F.sum("rows").alias("rows")).select(
-        F.lit("crm").alias("system"), "rows"
-    ).unionByName(arrival.file_rows(ctx.spark, f"{root}/erp").agg(
-        F.sum("rows").alias("rows")).select(F.lit("erp").alias("system"), "rows"))
-    sizes = arrival.file_sizes(ctx.spark, f"{root}/crm").agg(
-        F.sum("bytes").alias("bytes")).select(F.lit("crm").alias("system"), "bytes").unionByName(
-        arrival.file_sizes(ctx.spark, f"{root}/erp").agg(F.sum("bytes").alias("bytes"))
-        .select(F.lit("erp").alias("system"), "bytes"))
-    return sizes.join(rows, "system")
+    """Files, rows and whether anything is missing among the delivered extracts."""
+    control = arrival.probe(
+        ctx.spark, delivered(ctx), dt.datetime(2001, 8, 2),
+        {"crm": ["clientes"], "erp": ["pedidos"]},
+    )
+    return arrival.arrival_summary(arrival.check_arrival(control)).drop("megabytes")
 
 
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {

@@ -814,3 +814,6 @@ QUERIES["model_gates"] = sql(f"""
     UNION ALL SELECT 'auc_plausible', auc, auc < 0.99 FROM m
     UNION ALL SELECT 'lift_pays', lift_top_k, lift_top_k >= 2.5 FROM m""",
     "c_split", "c_quality")
+QUERIES["arrival_summary"] = """
+    SELECT CAST(2 AS BIGINT) AS files, (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS data_rows
+"""

@@ -17,23 +17,26 @@ class ArrivalError(RuntimeError):
     pass
 
 
+# <system>/<name>.csv, a file or a folder of part files
+_EXTRACT = r"/([^/]+)/([^/]+\.csv)(/[^/]+)?$"
+
+
 def _named(path) -> list:
-    """System and file name of a path: its last two parts."""
-    parts = F.split(path, "/")
-    return [F.element_at(parts, -2).alias("system"), F.element_at(parts, -1).alias("file")]
+    """System and extract a path belongs to."""
+    return [F.regexp_extract(path, _EXTRACT, i).alias(n) for i, n in ((1, "system"), (2, "file"))]
 
 
 def file_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """(system, file, bytes) of the CSV files below ``root``; contents are not read."""
+    """(system, file, bytes) of the extracts below ``root``; contents are not read."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv").load(root)
     )
-    return files.select(*_named(F.col("path")), F.col("length").alias("bytes"))
+    return files.groupBy(*_named(F.col("path"))).agg(F.sum("length").alias("bytes"))
 
 
 def file_rows(spark: SparkSession, root: str) -> DataFrame:
-    """(system, file, rows) of the CSV files below ``root``, headers not counted.
+    """(system, file, rows) of the extracts below ``root``, headers not counted.
 
     One scan over all files; large files are split between tasks.
     """
@@ -41,9 +44,10 @@ def file_rows(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema("first string").option("header", "true")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(root)
     )
-    return lines.groupBy(F.col("_metadata.file_path").alias("_path")).agg(
-        F.count(F.lit(1)).alias("rows")
-    ).select(*_named(F.col("_path")), "rows")
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("_path")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return per_file.groupBy(*_named(F.col("_path"))).agg(F.sum("n").alias("rows"))
 
 
 def probe(

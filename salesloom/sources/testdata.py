@@ -7,6 +7,7 @@ and reads just the columns that query needs.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from salesloom.functions import columns as C
 from salesloom.operators.rank import survivor_map
 from salesloom.plans import conform, silver
 from salesloom.plans.features import scoring_set, training_set
+from salesloom.sources.manifest import EXTRACTS
 
 AS_OF = dt.date(2001, 8, 2)
 TRAIN_AS_OF = dt.date(2001, 7, 25)
@@ -234,6 +236,76 @@ def raw_feedback(events: DataFrame) -> DataFrame:
     )
 
 
+def extracts(ctx: Ctx) -> dict[str, DataFrame]:
+    """The tables as the ten text extracts a delivery consists of.
+
+    Order totals are made to agree with the lines, registration dates to parse.
+    """
+    def br(c: str) -> Column:
+        return F.date_format(c, "dd/MM/yyyy")
+
+    def name(**columns: str | Column) -> list[Column]:
+        return [(F.col(c) if isinstance(c, str) else c).cast("string").alias(n)
+                for n, c in columns.items()]
+
+    none = F.lit(None).cast("string")
+    lines = ctx["items"].withColumn("line_value", F.col("quantity") * F.col("unit_price"))
+    totals = lines.groupBy("order_id").agg(F.sum("line_value").alias("lines_total"))
+    sellers_of = lines.groupBy("order_id").agg(F.min("seller_id").alias("seller_id"))
+    status = F.when(F.col("cancelled"), C.CANCELLED_STATUS).otherwise("Faturado")
+    active = F.when(F.col("active"), C.YES).otherwise("N")
+    raw = ctx["raw.customers"]
+    return {
+        "clientes": raw.select(*[F.col(c).cast("string") for c in raw.columns]).withColumn(
+            "data_cadastro", F.date_format(
+                _date_plus("1994-01-01", F.col("cliente_id").cast("bigint") % 365), "dd/MM/yyyy")),
+        "vendedores": ctx["sellers"].select(*name(
+            vendedor_id="seller_id", nome="name", regiao="region", uf="state",
+            data_admissao="hired_on", data_desligamento="left_on", meta_mensal="monthly_target")),
+        "produtos": ctx["products"].select(*name(
+            sku="sku", descricao="name", categoria="category", marca="brand",
+            nota_olfativa="scent_note", preco_tabela="list_price", custo_unitario="unit_cost",
+            unidade="unit", ativo=active, data_lancamento="launch_date")),
+        "pedidos": ctx["orders"].join(totals, "order_id", "left").join(
+            sellers_of, "order_id", "left").select(*name(
+                pedido_id="order_id", cliente_id="customer_id", vendedor_id="seller_id",
+                data_pedido=br("order_date"), canal="channel", status=status,
+                valor_total=C.default("lines_total", 0))),
+        "itens_pedido": lines.select(*name(
+            item_id=F.monotonically_increasing_id(), pedido_id="order_id", sku="sku",
+            quantidade="quantity", valor_bruto="gross_value", desconto_pct="discount_pct",
+            preco_praticado="unit_price")),
+        "pagamentos": ctx["payments"].select(*name(
+            pagamento_id=F.monotonically_increasing_id(), pedido_id="order_id",
+            forma_pagamento="method", parcelas=F.lit(1), valor="amount",
+            valor_liquido="net_amount", taxa_pct="fee_pct", data_vencimento=br("due_on"),
+            data_pagamento="paid_on", status_pagamento="status")),
+        "estoque": ctx["stock"].select(*name(
+            data_snapshot="snapshot_text", sku="sku", saldo="balance")),
+        "carteira": ctx["raw.assignments"].select(*name(
+            carteira_id="assignment_id", cliente_id="customer_id", vendedor_id="seller_id",
+            data_inicio=br("started_on"), data_fim=br("ended_on"))),
+        "oportunidades": ctx["raw.opportunities"].select(*name(
+            oportunidade_id="opportunity_id", cliente_id="customer_id", vendedor_id=none,
+            origem=none, data_abertura="opened_on", data_fechamento=br("closed_on"),
+            etapa="stage", probabilidade_pct=F.lit(50), ciclo_dias=F.lit(7),
+            valor_estimado="estimated_value", motivo_perda=none)),
+        "visitas": ctx["visits"].select(*name(
+            visita_id="visit_id", cliente_id="customer_id", vendedor_id=none,
+            data_visita=br("visited_on"), resultado="outcome", duracao_min=F.lit(30))),
+    }
+
+
+def deliver(ctx: Ctx, root: str, only: Sequence[str] | None = None) -> None:
+    """Write the extracts below ``root`` as folders of part files, each with a header."""
+    made = extracts(ctx)
+    for system, names in EXTRACTS.items():
+        for name in names:
+            if only is None or name in only:
+                made[name].write.mode("overwrite").option("header", "true").option(
+                    "escape", '"').csv(f"{root}/{system}/{name}.csv")
+
+
 def context(
     spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, train_as_of: dt.date = TRAIN_AS_OF,
     stored: bool = True,

@@ -54,6 +54,15 @@ def test_missing_empty_and_header_only(spark, delivery):
         assert part in str(error.value)
 
 
+def test_an_extract_may_be_a_folder_of_parts(spark, delivery):
+    for part in (1, 2):
+        put(delivery, f"erp/pedidos.csv/part-{part}.csv", "pedido_id,status\n1,x\n2,y\n")
+    control = arrival.probe(spark, str(delivery), WHEN, {"erp": ["produtos", "pedidos"]})
+    rows = {r["file"]: r["rows"] for r in arrival.check_arrival(control).collect()}
+    assert rows == {"produtos.csv": 3, "pedidos.csv": 4}
+    assert ingest.ingest_csv(spark, str(delivery), "erp", "pedidos").count() == 4
+
+
 def test_manifest_names_ten_files():
     assert {s: len(t) for s, t in EXTRACTS.items()} == {"erp": 5, "crm": 5}
 
