@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -530,12 +532,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return flat(QUERIES["sales_fact_totals"](context(spark, "/root/testdata/sf0.001")))
 
 
+def training_data():
+    """Queries of the training-data operators, where that subpackage is installed."""
+    if importlib.util.find_spec("salesloom.llm") is None:
+        return None
+    return importlib.import_module("salesloom.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: flat(build(context(spark, sf_dir)))
 
-    return {name: bound(build) for name, build in QUERIES.items()}
+    extra = training_data()
+    return {name: bound(build) for name, build in QUERIES.items()} | (
+        dict(extra.QUERIES) if extra else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: text for name, text in oracle.QUERIES.items() if name in QUERIES}
+    extra = training_data()
+    return {name: text for name, text in oracle.QUERIES.items() if name in QUERIES} | (
+        dict(extra.ORACLE_SQL) if extra else {})

@@ -59,11 +59,14 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return max(wanted, current)
 
 
+_own_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is absent and the whole
-    session is one machine.
+    Where the setting is absent and the whole session is one machine, each
+    application gets one temporary folder of its own.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -71,9 +74,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="salesloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_roots:
+        _own_roots[app] = tempfile.mkdtemp(prefix="salesloom-")
+    return _own_roots[app]
 
 
 class Store:

@@ -11,7 +11,10 @@ import time
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
