@@ -20,8 +20,8 @@ from salesloom.llm.common import WHITE, column, stored, table
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 MOST_CLASS_DISTANCE = 0.32
-MOST_WORD_DISTANCE = 0.45
-GUARD_WORDS = 80  # shorter texts have too few common words for their histogram
+MOST_WORD_DISTANCE = 0.37
+GUARD_WORDS = 50  # shorter texts have too few common words for their histogram
 
 CLASSES = ("upper", "digit", "mark", "symbol", "white", "rest")
 # Fixed lists: frequent function words of the languages that have a word histogram.
@@ -31,7 +31,8 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un une du que est pour dans qui par sur au pas plus".split(),
     "es": "de la que el en y los se del las un por con una su para es al lo no".split(),
 }
-WORD_SLOTS = 20
+SIGNS = "| # * - + = / < > & % $ • – — ·".split()  # counted together, as one more word
+WORD_SLOTS = 20 + 1
 
 
 def repeated_window_words(words: Column, windows: Column) -> Column:
@@ -75,7 +76,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
         "lines": F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "common": F.filter("words", lambda w: w.isin(
-            *sorted({w for ws in COMMON_WORDS.values() for w in ws}))),
+            *sorted({w for ws in COMMON_WORDS.values() for w in ws} | set(SIGNS)))),
     })
     listed = F.element_at(F.create_map(*[x for k, ws in COMMON_WORDS.items() for x in (
         F.lit(k), F.array(*[F.lit(w) for w in ws]))]), F.coalesce("lang", F.lit("")))
@@ -91,8 +92,10 @@ def text_counts(docs: DataFrame) -> DataFrame:
         repeated_window_words(F.col("words"), F.col("windows")).alias("n_repeat_words"),
         total.alias("chars"), outside(r"\p{Lu}+").alias("upper"), outside("[0-9]+").alias("digit"),
         outside(r"[.,;:!?'\"()\[\]-]+").alias("mark"),
-        F.coalesce(F.transform(listed, lambda w: F.size(F.filter("common", lambda x: x == w))),
-                   F.array().cast("array<int>")).alias("word_counts"),
+        F.coalesce(F.array_append(
+            F.transform(listed, lambda w: F.size(F.filter("common", lambda x: x == w))),
+            F.size(F.filter("common", lambda x: x.isin(*SIGNS)))),
+            F.array().cast("array<int>")).alias("word_counts"),
     )
     white = F.col("chars") - F.col("word_chars")
     rest = F.col("word_chars") - F.col("upper") - F.col("digit") - F.col("mark") - F.col("n_symbols")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import column, table
 
-LEAST_NOVELTY = 0.6  # added bytes for each byte of a candidate
+LEAST_NOVELTY = 0.9  # added bytes for each byte of a candidate
 AROUND = 200  # code points on either side that count as the surrounding code
 NEARBY = 60  # code points before a candidate that are searched for a sensitive word
 LEAST_LENGTH = 20
@@ -38,6 +38,8 @@ SENSITIVE = re.compile(
     re.ASCII | re.IGNORECASE)
 ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 DICTIONARY = """
+configuration settings_ value_ identifier version_number default_timeout_seconds max_connections
+primary_key foreign_key created_at updated_at first_name last_name address phone_number
 import export return function class public private static const final void string int long
 boolean null none true false self this new def async await try except catch finally raise throw
 for while if else elif switch case break continue lambda yield with open read write close print

@@ -1,11 +1,14 @@
 """Documents dealt into shards by balanced label propagation.
 
-Rows start in shards whose counts are at most one apart.  In each round the rows
-of linked documents learn from a join over the links how many neighbours each
-shard holds, and ask to move to the fullest one; between each two shards only as
-many move as keep every shard within its quota.  Who moves is settled by counts
-of hash buckets, so no task ranks a shard as a whole.  At the end the counts are
-brought back to at most one apart, unlinked rows first.
+Rows start in shards whose counts are at most one apart.  In each round linked
+rows learn from a join over the links how many of their neighbours each shard
+holds, and ask to move to the fullest one that has room; rows whose shard is full
+stay.  Between each two shards only as many move as keep the linked rows of every
+shard within its quota, an even share of all rows.  Who moves is settled by
+counts of hash buckets, group by group, so no task ranks a shard as a whole.  At
+the end the counts are brought back to at most one apart, unlinked rows first.
+Links are given as (row, hub): the rows of a hub are neighbours of each other, so
+a group of n copies takes n rows, not n * n.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from salesloom.llm.common import column, stored, table
 
 SHARDS = 8
-ROUNDS = 4
+ROUNDS = 10  # at most; a round without a move ends it
 ROWS_PER_BUCKET = 50_000
 BUCKETS = 4096  # of the rows that ask to move from one shard to another
 
@@ -75,7 +78,7 @@ def accepted(sizes: dict[int, int], wanted: dict[tuple[int, int], int], cap: int
         s, (room, arrive) = max(over.items(), key=lambda x: x[1][1] - x[1][0])
         left = room
         for key in sorted(k for k in flow if k[1] == s):
-            flow[key] = min(left, flow[key] * room // arrive) if room else 0
+            flow[key] = min(left, flow[key])
             left -= flow[key]
 
 
@@ -100,54 +103,54 @@ def levelling(sizes: dict[int, int], shards: int) -> dict[int, list[tuple[int, i
 
 def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
               rounds: int = ROUNDS) -> DataFrame:
-    """(row, shard): ``rows(row)`` dealt evenly, ``links(a, b)`` of rows kept together.
+    """(row, shard): ``rows(row)`` dealt evenly, rows of a hub of ``links(row, hub)`` kept together.
 
-    ``row`` must be unique.
+    ``row`` must be unique in ``rows``, and in ``links``.
     """
     total = rows.count()
     buckets = max(shards, math.ceil(total / ROWS_PER_BUCKET))
     placed = stored(numbered(rows.select("row"), [], buckets, "row", "number").select(
         "row", (F.col("number") % shards).cast("int").alias("shard")))
-    both = stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"))
+    linked = stored(links.join(placed, "row").select("row", "hub", "shard"))
     cap = math.ceil(total / shards)
 
-    def sizes() -> dict[int, int]:
+    def sizes(df: DataFrame) -> dict[int, int]:
         return {s: 0 for s in range(shards)} | {
-            r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}
-
-    def moved(moves: DataFrame) -> DataFrame:
-        return stored(placed.join(moves.select("row", F.col("wish").alias("to")), "row", "left").select(
-            "row", F.coalesce("to", "shard").alias("shard")))
-
-    for turn in range(rounds):
-        around = both.join(placed, both.b == placed.row).groupBy("a", "shard").agg(
-            F.count(F.lit(1)).alias("n"), F.min("b").alias("first"))
-        best = around.groupBy("a").agg(
-            F.max(F.struct("n", (-F.col("shard")).alias("least"))).alias("best"),
-            F.min("first").alias("first"))
-        # by turns only one half may move, so that neighbours don't swap places for ever
-        wishes = stored(best.join(placed, best.a == placed.row).select(
-            "row", "shard", (-F.col("best.least")).alias("wish"),
-            F.least("row", "first").alias("hub"),
-        ).where(
-            (F.col("shard") != F.col("wish"))
-            & ((F.col("row") > F.col("hub")) if turn % 2 else (F.col("row") <= F.col("hub")))
+            r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
+
+    def moved(df: DataFrame, moves: DataFrame) -> DataFrame:
+        return stored(df.join(moves.select("row", F.col("wish").alias("to")), "row", "left").withColumn(
+            "shard", F.coalesce("to", "shard")).drop("to"))
+
+    for _ in range(rounds):
+        held = sizes(linked)
+        free = [s for s, n in held.items() if n < cap]
+        around = linked.where(F.col("shard").isin(free)).groupBy("hub", "shard").agg(
+            F.count(F.lit(1)).alias("n"))
+        best = around.groupBy("hub").agg(
+            F.max(F.struct("n", (-F.col("shard")).alias("least"))).alias("best")
+        ).select("hub", (-F.col("best.least")).alias("wish"))
+        wishes = stored(linked.where(F.col("shard").isin(free)).join(best, "hub").where(
+            F.col("shard") != F.col("wish")
         ).select("row", "shard", "wish", (
             F.pmod(F.xxhash64("hub"), F.lit(64)) * (BUCKETS // 64)
             + F.pmod(F.xxhash64("row"), F.lit(BUCKETS // 64))).alias("bucket")))
         wanted = {(r["shard"], r["wish"]): r["count"]
                   for r in wishes.groupBy("shard", "wish").count().collect()}
-        flow = accepted(sizes(), wanted, cap)
-        if flow:
-            placed = moved(first_rows(wishes, flow))
-
-    plan = levelling(sizes(), shards)
+        flow = accepted(held, wanted, cap)
+        if not flow:
+            break
+        linked = moved(linked, first_rows(wishes, flow))
+    placed = stored(placed.join(
+        linked.select("row", F.col("shard").alias("to"), F.lit(1).alias("linked")), "row", "left"
+    ).select("row", F.coalesce("to", "shard").alias("shard"),
+             F.coalesce("linked", F.lit(0)).alias("linked")))
+
+    plan = levelling(sizes(placed), shards)
     if plan:
-        linked = both.select(F.col("a").alias("row")).distinct().withColumn("linked", F.lit(1))
-        surplus = placed.where(F.col("shard").isin(*plan)).join(linked, "row", "left").select(
+        surplus = placed.where(F.col("shard").isin(*plan)).select(
             "row", "shard", F.lit(-1).alias("wish"),
-            (F.coalesce("linked", F.lit(0)) * BUCKETS + F.pmod(F.xxhash64("row"), F.lit(BUCKETS)))
-            .alias("bucket"))
+            (F.col("linked") * BUCKETS + F.pmod(F.xxhash64("row"), F.lit(BUCKETS))).alias("bucket"))
         leaving = first_rows(surplus, {(s, -1): sum(n for _, n in to) for s, to in plan.items()})
         target = F.lit(None).cast("int")
         for s, to in plan.items():
@@ -156,15 +159,15 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
                 here = (F.col("shard") == s) & F.col("place").between(start, start + n - 1)
                 target = F.when(here, F.lit(t)).otherwise(target)
                 start += n
-        placed = moved(leaving.withColumn("wish", target))
-    return placed
+        placed = moved(placed, leaving.withColumn("wish", target))
+    return placed.select("row", "shard")
 
 
 def equal_text_links(rows: DataFrame) -> DataFrame:
-    """(a, b): every row of a text that occurs more than once, linked with the first of them."""
+    """(row, hub): every row of a text that occurs more than once, with the first of them."""
     first = rows.groupBy("digest").agg(
-        F.min("row").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(first, "digest").where("row <> a").select("a", F.col("row").alias("b"))
+        F.min("row").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(first, "digest").select("row", "hub")
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:

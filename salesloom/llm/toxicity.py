@@ -35,6 +35,11 @@ FOLDS = 5  # the last fold calibrates
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen ihr euch sie tu te toi ton ta tes "
     "vous votre vos tú ti tus usted ustedes vosotros".split())
+# Fixed list: words that insult by themselves; every lexicon starts from it.
+INSULTS = {w: 3.0 for w in (
+    "idiot idiots moron morons stupid loser losers pathetic scum scumbag worthless disgusting dumbass "
+    "imbecile retard retarded bastard bitch asshole arschloch trottel dummkopf wichser connard salaud "
+    "idiota imbécil estúpido cabrón").split()}
 # Fixed table: characters written for letters.
 LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"\w+")
@@ -163,7 +168,7 @@ def learn_lexicons(rows: DataFrame) -> list[Lexicon]:
         toxic = sum(sizes.get((h, 1), 0) for h in halves)
         clean = sum(sizes.get((h, 0), 0) for h in halves)
         if not toxic or not clean:
-            out.append({})
+            out.append(dict(INSULTS))
             continue
         t = sum((F.col(f"n{h}1") for h in halves[1:]), F.col(f"n{halves[0]}1"))
         c = sum((F.col(f"n{h}0") for h in halves[1:]), F.col(f"n{halves[0]}0"))
@@ -175,9 +180,9 @@ def learn_lexicons(rows: DataFrame) -> list[Lexicon]:
         told = 2 * (part(t, share) + part(c, 1 - share))
         odds = F.log(((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (clean + 1)))
         found = counts.select("term", F.round(odds, 6).alias("odds"), told.alias("told")).where(
-            (F.col("odds") > 2) & (F.col("told") >= 2 * (math.log(vocabulary) + 3))
+            (F.col("odds") > 2) & (F.col("told") >= 2 * math.log(vocabulary))
         ).orderBy(F.desc("told"), "term").limit(LEXICON).collect()
-        out.append({r["term"]: r["odds"] for r in found})
+        out.append(INSULTS | {r["term"]: r["odds"] for r in found})
     return out
 
 
