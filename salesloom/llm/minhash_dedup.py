@@ -14,10 +14,13 @@ link between x and y that the centre does not already give needs
 
 (the symmetric difference of x and y is d(x) + d(y) - 2 * common, and J >= s
 says that it is at most t * (|x| + |y|)).  If y is not linked with the centre c,
-d(y) > t * (|y| + |c|), hence x must share more than (d(x) + t * (|c| - |x|)) / 2
-differences with somebody.  Sets that do not are settled by the centre; only the
-others are joined with unlinked ones, on the differences.  Sets far from their
-centre, or with other centres, meet over their posting lists in the plain way.
+d(y) > t * (|y| + |c|), hence x shares more than (d(x) + t * (|c| - |x|)) / 2
+differences with y, and one of them is among the rarest of x once that many are
+set aside (prefix rule again).  Only these are joined with the differences of
+unlinked sets; for most sets none is left.  Besides, differences of x that no
+other set shares count in full against each link of x, so more of them than
+(1-s)/s * |x| settle it.  Sets far from their centre, or with
+other centres, meet over their posting lists in the plain way.
 Nothing is dropped: every pair that agrees in ``matches`` coordinates is either
 implied, excluded by the bound, or confirmed on full sets.
 """
@@ -39,7 +42,7 @@ SIZE = 64
 # a pair of similarity 0.85 agrees in 54.4 +- 2.9 of 64 coordinates; 40 is five deviations below
 MATCHES = 40
 PERCENT = 85
-FAR = 0.8  # differences beyond this share of a set's size are not held
+FAR = 1.2  # differences beyond this multiple of a set's size are not held
 
 
 def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -179,39 +182,30 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT,
     posted = stored(postings(sets, size, matches))
     chosen = centres(posted)
     full = stored(set_table(docs, posted.select("node").distinct()))
-    star = agreeing(
-        chosen.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")),
-        sets, matches,
-    )
+    star = chosen.where("node <> centre").select(
+        F.col("node").alias("a"), F.col("centre").alias("b"))
     around = stored(compared(star, full, percent, hold=True))
     settled = stored(components(around.where("linked")))
 
-    # sets that hold their difference from the centre
-    t = (100 - percent) / (100 + percent)
+    # sets that hold their difference from the centre; whole numbers keep the bounds exact
+    less, more = 100 - percent, 100 + percent
     held = around.where(F.col("diff").isNotNull())
     elements = stored(held.select(
         F.col("a").alias("node"), F.col("b").alias("centre"), "na", "nb", "d", "linked",
         F.explode("diff").alias("element")))
     known = elements.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("holders")).where(
         "holders > 1")
-    common = elements.join(known, ["centre", "element"])
-    shared = common.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
-    restless = elements.select("node", "na", "nb", "d").distinct().join(shared, "node").where(
-        F.col("shared") > (F.col("d") + t * (F.col("nb") - F.col("na"))) / 2 - 1e-6
-    ).select("node")
-    one = common.join(restless, "node", "left_semi").select(
-        F.col("node").alias("a"), "centre", "element", F.col("d").alias("da"),
-        F.col("na").alias("size_a"))
-    two = elements.where("not linked").select(
-        F.col("node").alias("b"), "centre", "element", F.col("d").alias("db"),
-        F.col("na").alias("size_b"))
-    by_difference = one.join(two, ["centre", "element"]).where("a <> b").groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("common"), F.first("da").alias("da"), F.first("db").alias("db"),
-        F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"),
-    ).where(
-        F.col("common") >= (F.col("da") + F.col("db")
-                            - t * (F.col("size_a") + F.col("size_b"))) / 2 - 1e-6
-    ).select("a", "b")
+    own = Window.partitionBy("node")  # at most FAR of the size of one set
+    needed = F.floor((more * F.col("d") + less * (F.col("nb") - F.col("na"))) / (2 * more)) + 1
+    # differences that nobody shares keep a set from all others: too many settle it
+    common = stored(elements.join(known, ["centre", "element"]).withColumn(
+        "shared", F.count(F.lit(1)).over(own)
+    ).where(less * F.col("na") >= percent * (F.col("d") - F.col("shared"))))
+    one = common.withColumn("place", F.row_number().over(own.orderBy("holders", "element"))).where(
+        F.col("place") <= F.col("shared") - needed + 1
+    ).select(F.col("node").alias("a"), "centre", "element")
+    two = common.where("not linked").select(F.col("node").alias("b"), "centre", "element")
+    by_difference = one.join(two, ["centre", "element"]).where("a <> b").select("a", "b").distinct()
 
     # the rest meets over posting lists, where the centre says nothing about a pair
     place = posted.join(chosen, "node").join(
