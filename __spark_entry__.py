@@ -25,8 +25,8 @@ from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
 from salesloom.plans import marts, metrics, propensity, quality, queue, silver  # noqa: E402
 from salesloom.sources import arrival, ingest, testdata  # noqa: E402
 
-# Boosting rounds of the registered model queries; the library's default is 300.
-QUERY_ITERATIONS = 20
+# The labelled rows of these tables fit into one task of a boosting job.
+TRAINING_PARTITIONS = 1
 
 _contexts: dict[tuple[str, str], Ctx] = {}
 
@@ -105,7 +105,7 @@ def trained_model(ctx: Ctx):
     key = "_model"
     if not hasattr(ctx, key):
         setattr(ctx, key, propensity.train(
-            split(ctx).where(~F.col("holdout")), iterations=QUERY_ITERATIONS
+            split(ctx).where(~F.col("holdout")), partitions=TRAINING_PARTITIONS
         ))
     return getattr(ctx, key)
 
@@ -234,7 +234,7 @@ def q_propensity(ctx: Ctx) -> DataFrame:
 
 def q_oof(ctx: Ctx) -> DataFrame:
     return propensity.oof_scores(
-        ctx.store, ctx["features.train"], iterations=QUERY_ITERATIONS
+        ctx.store, ctx["features.train"], partitions=TRAINING_PARTITIONS
     ).select(
         "customer_id", "bought", "fold", "score"
     )
@@ -308,7 +308,7 @@ def q_feedback_merge(ctx: Ctx) -> DataFrame:
 
 def q_queue_feedback(ctx: Ctx) -> DataFrame:
     joined = feedback.queue_with_feedback(the_queue(ctx), accepted_feedback(ctx))
-    return stamp_text(joined.drop("reason", "suggestion"), "feedback_at")
+    return stamp_text(joined, "feedback_at")
 
 
 def q_week_kpis(ctx: Ctx) -> DataFrame:

@@ -252,6 +252,11 @@ def features_of(table: str, names: tuple[str, ...]) -> str:
     return sql(f"SELECT customer_id, {picked} FROM {table}", table)
 
 
+COMMON["c_mart"] = (("c_fact", "c_abc", "c_products"), """
+    SELECT g.sku, g.revenue FROM (SELECT sku, brand, category, year, month, sum(revenue) AS revenue
+        FROM c_fact GROUP BY ALL) g LEFT JOIN c_abc a USING (sku) LEFT JOIN c_products p USING (sku)""")
+MART_DIFFERENCE = """abs((SELECT round(sum(revenue), 2) FROM c_fact)
+    - (SELECT round(sum(revenue), 2) FROM c_mart))"""
 COMMON["c_label"] = (("c_train", "c_fact"), f"""
     SELECT t.*, CASE WHEN b.customer_id IS NULL THEN 0 ELSE 1 END AS bought
     FROM c_train t LEFT JOIN (SELECT DISTINCT customer_id FROM c_fact
@@ -571,10 +576,7 @@ QUERIES: dict[str, str] = {
         check("customer_orphans", """(SELECT count(DISTINCT customer_id) FROM c_fact
             WHERE customer_id NOT IN (SELECT customer_id FROM c_customers))""", 0, 0),
     ]), "c_fact", "c_orders", "c_lines", "c_customers"),
-    "dq_mart_conform": sql(check("mart_conforms", """abs(
-        (SELECT round(sum(revenue), 2) FROM c_fact) - (SELECT round(sum(r), 2) FROM
-         (SELECT sum(revenue) AS r FROM c_fact GROUP BY sku, brand, category, year, month)))""",
-        0, 0.01), "c_fact"),
+    "dq_mart_conform": sql(check("mart_conforms", MART_DIFFERENCE, 0, 0.01), "c_fact", "c_mart"),
     "dq_tax_ids": sql(check("tax_id_length", """(SELECT count(*) FROM c_customers
         WHERE length(tax_id) <> 14)""", 0, 0), "c_customers"),
     **{name: features_of("c_train", fields) for name, fields in GROUPS.items()},
@@ -674,10 +676,11 @@ QUERIES: dict[str, str] = {
                         '%Y-%m-%d %H:%M:%S') AS recorded_at,
                CASE WHEN wins THEN o.seller ELSE e.seller END AS recorded_by
         FROM j""", "c_accepted"),
-    "queue_with_feedback": sql("""
+    "queue_with_feedback": sql(f"""
         SELECT q.seller, q.position, q.customer_id, q.name, q.city, q.state,
+               row_number() OVER (ORDER BY round(q.score, 4) DESC, q.customer_id) AS rank,
                CAST(round(CAST(round(q.score, 4) AS DECIMAL(9,4)), 2) AS DOUBLE) AS score, q.band,
-               round(round(q.avg_ticket, 2), 2) AS avg_ticket,
+               round(round(q.avg_ticket, 2), 2) AS avg_ticket, {REASON} AS reason, q.suggestion,
                l.status AS feedback_status, l.comment AS feedback_comment,
                strftime(l.recorded_at, '%Y-%m-%d %H:%M:%S') AS feedback_at,
                l.seller AS feedback_by
@@ -780,11 +783,9 @@ QUERIES["dq_all"] = sql(" UNION ALL ".join([
         WHERE order_id NOT IN (SELECT order_id FROM c_orders))""", 0, 0),
     check("customer_orphans", """(SELECT count(DISTINCT customer_id) FROM c_fact
         WHERE customer_id NOT IN (SELECT customer_id FROM c_customers))""", 0, 0),
-    check("mart_conforms", """abs((SELECT round(sum(revenue), 2) FROM c_fact)
-        - (SELECT round(sum(r), 2) FROM (SELECT sum(revenue) AS r FROM c_fact
-           GROUP BY sku, year, month)))""", 0, 0.01),
+    check("mart_conforms", MART_DIFFERENCE, 0, 0.01),
     check("tax_id_length", "(SELECT count(*) FROM c_customers WHERE length(tax_id) <> 14)", 0, 0),
-]), "c_fact", "c_orders", "c_customers")
+]), "c_fact", "c_orders", "c_customers", "c_mart")
 
 QUERIES["dash_base"] = sql("""
     SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date,

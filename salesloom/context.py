@@ -40,19 +40,19 @@ def session(app_name: str = "salesloom", **conf: str) -> SparkSession:
 
 SHUFFLE_BYTES = 256 * 1024 * 1024  # aim of a shuffle partition
 SHUFFLE_GROWTH = 2  # shuffled rows take about twice the space of compressed parquet
-MOST_PARTITIONS = 40_000  # beyond that the shuffle's own bookkeeping costs more
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
+def size_shuffles(spark: SparkSession, *paths: str, partition_bytes: int = SHUFFLE_BYTES) -> int:
     """Raise the initial number of shuffle partitions to what the input needs.
 
     AQE merges partitions that turn out small but cannot cut ordinary ones, so
     the starting number has to suit the largest shuffle, about the size of the
-    largest input.  Returns the number in effect; it is never lowered.
+    largest input.  ``partition_bytes`` is the aim for one partition; whoever wants
+    fewer of them raises it.  Returns the number in effect; it is never lowered.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     total = files.agg(F.sum("length")).first()[0] or 0  # a listing, contents are not read
-    wanted = min(MOST_PARTITIONS, math.ceil(total * SHUFFLE_GROWTH / SHUFFLE_BYTES))
+    wanted = math.ceil(total * SHUFFLE_GROWTH / partition_bytes)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
@@ -111,6 +111,15 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+    def clear(self) -> None:
+        """Delete what this scope has written; frames that read it end with it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._root())
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        mine = f"{self.scope}/"
+        for key in [k for k in self._written if k[0] == self.app and k[1].startswith(mine)]:
+            del self._written[key]
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite ``path``; partition columns get AQE-sized files.
 

@@ -2,13 +2,14 @@
 
 A window without a partition key sorts everything in one task.  Here the rows
 are first grouped to one row per distinct value (ties then share a total, as
-RANGE frames do).  If the largest group left is small, as counted, a plain
-window does it.  If not, quantile edges cut the value axis into buckets, each bucket is summed
-on its own, and the totals of the buckets before it are added as an offset.
+RANGE frames do).  Quantile edges cut the value axis into buckets, each bucket
+is summed on its own, and the totals of the buckets before it are added as an
+offset.  The number of buckets follows the number of distinct values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from salesloom.context import Store
 
-SINGLE_TASK_ROWS = 200_000
+BUCKET_ROWS = 100_000  # distinct values a window task sorts
+LEAST_BUCKETS = 4
 
 
 def prefix_sum(
@@ -27,7 +29,7 @@ def prefix_sum(
     values: Mapping[str, Column],
     by: Sequence[str] = (),
     descending: bool = True,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """One row per (by, order value) with ``<name>`` and ``<name>_running``.
@@ -39,11 +41,9 @@ def prefix_sum(
         df.groupBy(*by, order).agg(*[v.alias(name) for name, v in values.items()])
     )
     direction = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
-    if largest_group(grouped, by) <= single_task_rows:
-        w = Window.partitionBy(*by).orderBy(direction)
-        return grouped.select("*", *[F.sum(n).over(w).alias(f"{n}_running") for n in values])
-
-    bucketed = _bucketed(grouped, order, buckets or _default_buckets(store))
+    # the rows are stored, so the count is read from the files' footers
+    bucketed = _bucketed(
+        grouped, order, buckets or max(LEAST_BUCKETS, math.ceil(grouped.count() / bucket_rows)))
     before = Window.partitionBy(*by).orderBy(
         F.col("_bucket").desc() if descending else F.col("_bucket")
     ).rowsBetween(Window.unboundedPreceding, -1)
@@ -71,18 +71,6 @@ def prefix_sum(
     )
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest group, the most a window by ``by`` puts into one task."""
-    if not by:
-        return df.count()
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
-def _default_buckets(store: Store) -> int:
-    return max(32, int(store.spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _bucketed(grouped: DataFrame, order: str, buckets: int) -> DataFrame:
     """Add ``_bucket``, non-decreasing in the order value.
 
@@ -112,9 +100,10 @@ def abc_classes(
     class, equal measures share a class, and with negative measures the running
     share may pass 1 before it comes back.
     """
-    totals = df.groupBy(key).agg(measure.alias("total"))
+    # stored, as both readers must see the same sums
+    totals = store.scratch(df.groupBy(key).agg(measure.alias("total")))
     running = prefix_sum(store, totals, "total", {"part": F.sum("total")}, **how)
-    grand = running.agg(F.sum("part").cast("double")).scalar()
+    grand = totals.agg(F.sum("total").cast("double")).scalar()
     share = F.col("part_running").cast("double") / F.nullif(grand, F.lit(0.0))
     chain = F.when(share <= cuts[0], labels[0])
     for cut, label in zip(cuts[1:], labels[1:]):
@@ -129,18 +118,12 @@ def abc_classes(
 
 
 def dense_rank_by(
-    store: Store, df: DataFrame, by: Sequence[str], order: str, out: str = "rank",
-    single_task_rows: int = SINGLE_TASK_ROWS, **how,
+    store: Store, df: DataFrame, by: Sequence[str], order: str, out: str = "rank", **how,
 ) -> DataFrame:
     """``dense_rank`` per ``by`` in descending ``order`` that survives huge groups.
 
-    ``df`` is read more than once and should be a stored table.  Groups counted
-    to be small are ranked by a plain window.
+    ``df`` is read more than once and should be a stored table.
     """
-    if largest_group(df, by) <= single_task_rows:
-        w = Window.partitionBy(*by).orderBy(F.col(order).desc_nulls_last())
-        return df.withColumn(out, F.dense_rank().over(w))
-    how["single_task_rows"] = single_task_rows
     ranks = prefix_sum(store, df, order, {"one": F.lit(1)}, by=by, **how).select(
         *[F.col(c).alias(f"_{c}") for c in by], F.col(order).alias("_order"),
         F.col("one_running").cast("int").alias(out),
@@ -191,7 +174,9 @@ def hash_rank(
 
     Rows are ordered by ``md5(key|seed)``.  The leading digits of a hash are
     uniform, so they cut every group into equal buckets that are numbered apart
-    and shifted by the counts of the buckets before them.
+    and shifted by the counts of the buckets before them.  ``prefix_digits`` = 3
+    makes 4096 buckets a group, right for some 400 million rows; each digit more
+    serves sixteen times as many.  The order does not depend on it.
     """
     hashed = df.withColumn(
         "_h", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))

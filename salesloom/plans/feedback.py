@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import optional_filter, safe_ratio
@@ -66,7 +66,11 @@ def latest_feedback(feedback: DataFrame) -> DataFrame:
 def queue_with_feedback(
     queue: DataFrame, feedback: DataFrame, seller: str | None = None
 ) -> DataFrame:
-    """The queue with the newest outcome of each customer, best score first."""
+    """The queue with the newest outcome of each customer, best score first.
+
+    ``rank`` numbers the rows by the score before it is rounded for display; the
+    queue is a list for people, of a length they can call.
+    """
     last = latest_feedback(feedback).select(
         "customer_id", F.col("status").alias("feedback_status"),
         F.col("comment").alias("feedback_comment"), F.col("recorded_at").alias("feedback_at"),
@@ -74,9 +78,10 @@ def queue_with_feedback(
     )
     return (
         optional_filter(queue, {"seller": seller}).join(last, "customer_id", "left")
+        .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "customer_id")))
         .withColumn("score", F.round("score", 2))
         .withColumn("avg_ticket", F.round("avg_ticket", 2))
-        .orderBy(F.desc("score"), "customer_id")
+        .orderBy("rank")
     )
 
 

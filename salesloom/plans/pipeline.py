@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.context import Ctx, Store
+from salesloom.context import Ctx, Store, size_shuffles
 from salesloom.operators.contracts import assert_passed, enforce
 from salesloom.plans import catalog, conform, features, feedback, marts, metrics, propensity
 from salesloom.plans import quality, queue, silver
@@ -102,7 +103,8 @@ def saved_context(spark: SparkSession, db: str, as_of: dt.date, train_as_of: dt.
     names = [name for name, _ in silver.CLEANERS.values()]
     tables = {n: saved(n) for n in [*names, "assignments"]}
     tables["fact"] = saved("sales_fact")
-    return Ctx(spark, tables, as_of, train_as_of, Store(spark, f"{db}-{as_of}"))
+    # a scope for each run: intermediates of an earlier delivery are never read again
+    return Ctx(spark, tables, as_of, train_as_of, Store(spark, f"{db}-{as_of}-{uuid.uuid4().hex}"))
 
 
 def gold(ctx: Ctx, db: str) -> None:
@@ -166,13 +168,27 @@ def run(
     iterations: int = propensity.ITERATIONS, gates: bool = True,
 ) -> Ctx:
     """Every step in order; the first check that fails stops the run."""
+    size_shuffles(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     ensure_table(spark, f"{db}.call_feedback", feedback.FEEDBACK_SCHEMA, FEEDBACK_COMMENTS)
     bronze(spark, root, db, dt.datetime.combine(as_of, dt.time()))
     typed(spark, db)
     ctx = saved_context(spark, db, as_of, train_as_of)
+    try:
+        after_cleaning(ctx, db, model_root, fact_rows, queue_size, iterations, gates)
+    finally:
+        ctx.store.clear()
+    return ctx
+
+
+def after_cleaning(
+    ctx: Ctx, db: str, model_root: str, fact_rows: tuple[float, float], queue_size: int,
+    iterations: int, gates: bool,
+) -> None:
+    """From the cleaned tables to the checked queue."""
+    spark = ctx.spark
     gold(ctx, db)
-    assert_passed(quality.all_checks(ctx, fact_rows))
+    assert_passed(quality.all_checks(ctx, fact_rows, spark.table(f"{db}.mart_product_month")))
     coverage = catalog.comment_coverage(
         catalog.metadata(spark, db).where(F.col("table_name").isin(*TABLE_COMMENTS))
     )
@@ -187,4 +203,3 @@ def run(
     assert_passed(queue.queue_checks(spark.table(f"{db}.call_queue"), queue_size))
     require_tables(spark, [f"{db}.{n}" for n in (
         "call_queue", "call_feedback", "monthly_revenue", "brand_ranking")])
-    return ctx

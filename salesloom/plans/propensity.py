@@ -6,7 +6,6 @@ AUC and bands come from running counts, and the trees are Spark's.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -42,7 +41,7 @@ MIN_LIFT = 2.5
 NULLABLE = ("avg_ticket", "margin_share", "mean_gap_days", "gap_stddev_days", "relative_delay",
             "top_brand_share")
 SENTINEL = -1.0
-ROWS_PER_TASK = 50_000  # rows of a training task
+MAX_BINS = 255  # split candidates of a feature
 
 
 def stratified_split(
@@ -94,7 +93,7 @@ def baseline_auc(store: Store, holdout: DataFrame, label: str = "bought", **how)
 
 
 def prepare(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Spark's trees take no NaN: a sentinel outside the range plus a 0/1 marker.
+    """Spark's trees take no NaN: a sentinel plus a 0/1 marker that tells it from a true value.
 
     The same expressions serve training, hold-out and scoring.
     """
@@ -111,23 +110,24 @@ def model_inputs(features: Sequence[str] = FEATURES) -> list[str]:
 
 def train(
     df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
-    iterations: int = ITERATIONS, seed: int = SEED,
+    iterations: int = ITERATIONS, seed: int = SEED, partitions: int | None = None,
 ) -> PipelineModel:
     """Gradient-boosted trees; ``df`` holds raw features, NULLs included.
 
-    Boosting runs a job per tree level over all partitions.  A small training
-    set is put into few partitions, so that those jobs are not all overhead; a
-    large one keeps the partitions it has.
+    Boosting runs a job per tree level over all partitions of ``df``.  For a
+    small training set whoever calls may ask for few ``partitions``, so that
+    those jobs are not all overhead; the split candidates depend on them a little.
     """
-    tasks = math.ceil(df.count() / ROWS_PER_TASK) or 1
     trees = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=iterations, stepSize=STEP_SIZE,
-        maxDepth=MAX_DEPTH, minInstancesPerNode=MIN_ROWS_PER_LEAF, seed=seed,
+        maxDepth=MAX_DEPTH, minInstancesPerNode=MIN_ROWS_PER_LEAF, maxBins=MAX_BINS, seed=seed,
         # checkpoints cut the lineage of boosting where the context names a folder
         checkpointInterval=10,
     )
     assembler = VectorAssembler(inputCols=model_inputs(features), outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(prepare(df, features).coalesce(tasks))
+    ready = prepare(df, features)
+    return Pipeline(stages=[assembler, trees]).fit(
+        ready if partitions is None else ready.coalesce(partitions))
 
 
 def score(
@@ -142,6 +142,7 @@ def score(
 def oof_scores(
     store: Store, df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
     folds: int = FOLDS, iterations: int = ITERATIONS, seed: int = SEED, key: str = "customer_id",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Each row scored by a model that has not seen its fold.
 
@@ -152,7 +153,8 @@ def oof_scores(
 
     @inheritable_thread_target(store.spark)
     def fit(fold: int) -> DataFrame:
-        model = train(parted.where(F.col("fold") != fold), features, label, iterations, seed)
+        model = train(
+            parted.where(F.col("fold") != fold), features, label, iterations, seed, partitions)
         return score(model, parted.where(F.col("fold") == fold), features)
 
     pool = ThreadPool(folds)

@@ -26,7 +26,6 @@ REASON_STEADY = "Dentro do ritmo. Contato de manutencao."
 AT_RISK_DELAY = 3
 LATE_DELAY = 1.5
 LARGE_VALUE = 50000
-BROADCAST_ROWS = 100_000  # a queue up to this length is hinted as the small side
 
 QUEUE_COLUMNS = (
     "seller", "position", "customer_id", "name", "city", "state", "score", "band", "avg_ticket",
@@ -88,12 +87,17 @@ def suggest_product(fact: DataFrame, as_of: dt.date, days: int = RECENT_DAYS) ->
     sales = before(sold(fact), "order_date", as_of)
     by_sku = sales.groupBy("customer_id", "brand", "sku").agg(
         F.count(F.lit(1)).alias("times_bought"), F.max("order_date").alias("last_bought"),
+        F.sum("revenue").alias("spent"),
     )
-    rested = by_sku.where(F.col("last_bought") < F.date_sub(F.lit(as_of), days))
-    brand = preferred_brand(sales).select("customer_id", "brand")
+    # the brand's revenue is the sum over its SKUs: one scan, and rows per SKU from here on
+    spent = F.sum("spent").over(Window.partitionBy("customer_id", "brand"))
+    best = Window.partitionBy("customer_id").orderBy(
+        F.col("brand_spent").desc(), F.col("brand").asc_nulls_last())
+    liked = by_sku.withColumn("brand_spent", spent).withColumn("liked", F.rank().over(best)).where(
+        (F.col("liked") == 1) & F.col("brand").isNotNull())
+    rested = liked.where(F.col("last_bought") < F.date_sub(F.lit(as_of), days))
     return top_per_key(
-        rested.join(brand, ["customer_id", "brand"]), ["customer_id"],
-        [F.col("times_bought").desc(), F.col("sku").asc()],
+        rested, ["customer_id"], [F.col("times_bought").desc(), F.col("sku").asc()],
     ).select("customer_id", F.col("sku").alias("suggestion"), "times_bought")
 
 
@@ -127,13 +131,11 @@ def call_queue(
     """The queue with reason and suggestion.
 
     The queue is cut first; names and the sales suggestions are made from are
-    then looked up for its customers only.  Its length is known, so it is hinted
-    as the small side of those joins up to ``BROADCAST_ROWS`` and left to the
-    optimizer beyond.
+    then looked up for its customers only.  The queue is stored, so the optimizer
+    knows its size and chooses the joins.
     """
     queue = ctx.store.scratch(top_n(eligible(ctx, scores, features), n))
-    small = F.broadcast if n <= BROADCAST_ROWS else lambda df: df
-    called = small(queue.select("customer_id"))
+    called = queue.select("customer_id")
     who = ctx["customers"].join(called, "customer_id", "left_semi").select(
         "customer_id", "name", C.default("city", C.MISSING_CITY).alias("city"),
         C.default("state", C.MISSING_STATE).alias("state"),

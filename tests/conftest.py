@@ -1,3 +1,4 @@
+import os
 import tempfile
 
 import pytest
@@ -10,7 +11,7 @@ def make_session() -> SparkSession:
     spark = session(
         "salesloom-tests",
         **{
-            "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
+            "spark.master": f"local[{os.environ.get('TEST_CPUS', '8')}]", "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false", "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="salesloom-warehouse-"),

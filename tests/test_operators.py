@@ -17,7 +17,7 @@ def store(spark):
 
 
 # both the one-window way and the bucketed way
-WAYS = [{}, {"single_task_rows": 0, "buckets": 7}]
+WAYS = [{}, {"buckets": 7}]
 
 
 @pytest.mark.parametrize("how", WAYS)

@@ -63,14 +63,13 @@ def test_lines_are_shuffled_once_by_order_and_once_by_sku(spark, ctx):
         ["order_id", "order_id", "sku", "sku", "customer_id", "customer_id"])
 
 
-def test_shuffles_are_sized_by_the_input(spark, monkeypatch):
+def test_shuffles_are_sized_by_the_input(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     path = f"{SF}/lineitem.parquet"
     assert context.size_shuffles(spark, path) == int(
         spark.conf.get("spark.sql.shuffle.partitions"))
-    monkeypatch.setattr(context, "SHUFFLE_BYTES", 10_000)
     try:
-        wanted = context.size_shuffles(spark, path)
+        wanted = context.size_shuffles(spark, path, partition_bytes=10_000)
         assert wanted > 8 and spark.conf.get(name) == str(wanted)
     finally:
         spark.conf.unset(name)
