@@ -24,6 +24,7 @@ from salesloom.operators.stats import auc, calibration, lift_at_k, score_bands
 from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
 from salesloom.plans import marts, metrics, propensity, quality, queue, silver  # noqa: E402
 from salesloom.sources import arrival, ingest, testdata  # noqa: E402
+from salesloom.sources.manifest import EXTRACTS  # noqa: E402
 
 # The labelled rows of these tables fit into one task of a boosting job.
 TRAINING_PARTITIONS = 1
@@ -360,37 +361,106 @@ def q_survivor_fact(ctx: Ctx) -> DataFrame:
 
 
 def delivered(ctx: Ctx) -> str:
-    """The source tables as text extracts below the shared folder, one folder per system."""
+    """The source tables as ten text extracts below the shared folder, with dirt in some columns."""
     root = f"{shared_root(ctx.spark)}/salesloom/{ctx.store.app}/{ctx.store.scope}/delivery"
     if not hasattr(ctx, "_delivered"):
+        made = testdata.extracts(ctx)
         raw = ctx["raw.customers"]
-        raw.select(*[F.col(c).cast("string") for c in raw.columns]).write.mode(
-            "overwrite").option("header", "true").csv(f"{root}/crm/clientes.csv")
-        orders = ctx["orders"]
-        orders.select(
+        made["clientes"] = raw.select(*[F.col(c).cast("string") for c in raw.columns])
+        made["pedidos"] = ctx["orders"].select(
             F.col("order_id").alias("pedido_id"), F.col("customer_id").alias("cliente_id"),
             F.date_format("order_date", "dd/MM/yyyy").alias("data_pedido"),
             F.col("channel").alias("canal"),
             F.when(F.col("cancelled"), "Cancelado").otherwise("Faturado").alias("status"),
             F.col("total_value").alias("valor_total"), F.lit(None).cast("string")
             .alias("vendedor_id"),
-        ).write.mode("overwrite").option("header", "true").csv(f"{root}/erp/pedidos.csv")
+        )
+        for name, column, key, size, at, text in (
+            ("itens_pedido", "preco_praticado", "pedido_id", 100, 7, "n/a"),
+            ("pagamentos", "forma_pagamento", "pedido_id", 50, 3, None),
+            ("pagamentos", "taxa_pct", "pedido_id", 60, 4, "7%"),
+            ("estoque", "saldo", "sku", 20, 1, "?"),
+            ("produtos", "preco_tabela", "sku", 40, 3, "12,50"),
+            ("produtos", "nota_olfativa", "sku", 25, 2, None),
+            ("vendedores", "uf", "vendedor_id", 9, 2, None),
+            ("oportunidades", "valor_estimado", "oportunidade_id", 30, 5, "R$ 10"),
+        ):
+            dirty = F.col(key).cast("bigint") % size == at
+            made[name] = made[name].withColumn(
+                column, F.when(dirty, F.lit(text)).otherwise(F.col(column)))
+        testdata.write_extracts(made, root)
         setattr(ctx, "_delivered", True)
     return root
 
 
+def raw_extract(ctx: Ctx, name: str) -> DataFrame:
+    system = next(s for s, names in EXTRACTS.items() if name in names)
+    return ingest.ingest_csv(ctx.spark, delivered(ctx), system, name)
+
+
 def q_ingest_reconcile(ctx: Ctx) -> DataFrame:
-    """Orders and customers written as text, read back, cleaned and counted."""
+    """Rows of the ten extracts as the control table has them and as they are ingested."""
     root = delivered(ctx)
-    tables = {
-        name: ingest.ingest_csv(ctx.spark, root, system, name)
-        for system, name in (("crm", "clientes"), ("erp", "pedidos"))
-    }
-    expected = ctx["raw.customers"].agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit("clientes.csv").alias("file"), "rows"
-    ).unionByName(ctx["orders"].agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit("pedidos.csv").alias("file"), "rows"))
-    return ingest.reconcile_ingest(expected, ingest.row_counts(tables))
+    control = arrival.probe(ctx.spark, root, dt.datetime(2001, 8, 2))
+    return ingest.reconcile_ingest(control, ingest.row_counts(ingest.ingest_all(ctx.spark, root)))
+
+
+def q_csv_products(ctx: Ctx) -> DataFrame:
+    return silver.clean_products(raw_extract(ctx, "produtos")).withColumn(
+        "sku", F.col("sku").cast("bigint"))
+
+
+def q_csv_items(ctx: Ctx) -> DataFrame:
+    """Lines, units and values of order lines that went through text; dirty prices are NULL."""
+    return silver.clean_items(raw_extract(ctx, "itens_pedido")).groupBy("is_return").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("order_id").alias("orders"),
+        F.sum("quantity").alias("quantity"), F.sum("quantity_abs").alias("quantity_abs"),
+        F.sum("gross_value").alias("gross_value"), F.sum("discount_pct").alias("discount_pct"),
+        F.count("unit_price").alias("priced"), F.count("revenue").alias("valued"),
+    )
+
+
+def q_csv_payments(ctx: Ctx) -> DataFrame:
+    return silver.clean_payments(raw_extract(ctx, "pagamentos")).groupBy("method", "status").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("installments").alias("installments"),
+        F.sum("amount").alias("amount"), F.sum("net_amount").alias("net_amount"),
+        F.sum("fee_pct").alias("fee_pct"), F.count("fee_pct").alias("with_fee"),
+        F.min("due_on").alias("first_due"), F.max("paid_on").alias("last_paid"),
+    )
+
+
+def q_csv_stock(ctx: Ctx) -> DataFrame:
+    return silver.clean_stock(raw_extract(ctx, "estoque")).withColumn(
+        "sku", F.col("sku").cast("bigint"))
+
+
+def q_csv_sellers(ctx: Ctx) -> DataFrame:
+    return silver.clean_sellers(raw_extract(ctx, "vendedores")).withColumn(
+        "seller_id", F.col("seller_id").cast("bigint"))
+
+
+def q_csv_assignments(ctx: Ctx) -> DataFrame:
+    rows = silver.clean_assignments(
+        raw_extract(ctx, "carteira"), silver.clean_sellers(raw_extract(ctx, "vendedores")))
+    return rows.withColumns({
+        c: F.col(c).cast("bigint") for c in ("assignment_id", "customer_id", "seller_id")})
+
+
+def q_csv_opportunities(ctx: Ctx) -> DataFrame:
+    return silver.clean_opportunities(raw_extract(ctx, "oportunidades")).groupBy("stage").agg(
+        F.count(F.lit(1)).alias("opportunities"), F.countDistinct("customer_id").alias("customers"),
+        F.sum("estimated_value").alias("value"), F.count("estimated_value").alias("valued"),
+        F.min("opened_on").alias("first_opened"), F.max("closed_on").alias("last_closed"),
+        F.sum("probability_pct").alias("probability_pct"), F.sum("cycle_days").alias("cycle_days"),
+    )
+
+
+def q_csv_visits(ctx: Ctx) -> DataFrame:
+    return silver.clean_visits(raw_extract(ctx, "visitas")).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("visits"), F.countDistinct("customer_id").alias("customers"),
+        F.min("visited_on").alias("first_visit"), F.max("visited_on").alias("last_visit"),
+        F.sum("duration_minutes").alias("minutes"),
+    )
 
 
 def q_csv_orders(ctx: Ctx) -> DataFrame:
@@ -413,10 +483,7 @@ def q_csv_customers(ctx: Ctx) -> DataFrame:
 
 def q_arrival_summary(ctx: Ctx) -> DataFrame:
     """Files, rows and whether anything is missing among the delivered extracts."""
-    control = arrival.probe(
-        ctx.spark, delivered(ctx), dt.datetime(2001, 8, 2),
-        {"crm": ["clientes"], "erp": ["pedidos"]},
-    )
+    control = arrival.probe(ctx.spark, delivered(ctx), dt.datetime(2001, 8, 2))
     return arrival.arrival_summary(arrival.check_arrival(control)).drop("megabytes")
 
 
@@ -523,6 +590,14 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "ingest_reconcile": q_ingest_reconcile,
     "csv_orders": q_csv_orders,
     "csv_customers": q_csv_customers,
+    "csv_products": q_csv_products,
+    "csv_items": q_csv_items,
+    "csv_payments": q_csv_payments,
+    "csv_stock": q_csv_stock,
+    "csv_sellers": q_csv_sellers,
+    "csv_assignments": q_csv_assignments,
+    "csv_opportunities": q_csv_opportunities,
+    "csv_visits": q_csv_visits,
     "arrival_summary": q_arrival_summary,
 }
 

@@ -252,6 +252,16 @@ def features_of(table: str, names: tuple[str, ...]) -> str:
     return sql(f"SELECT customer_id, {picked} FROM {table}", table)
 
 
+# rows of each extract of a delivery
+EXTRACT_ROWS = {
+    "produtos": "SELECT count(*) FROM part", "pedidos": "SELECT count(*) FROM orders",
+    "itens_pedido": "SELECT count(*) FROM lineitem",
+    "pagamentos": "SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "estoque": "SELECT count(DISTINCT (user_id, CAST(ts AS DATE))) FROM events",
+    "clientes": "SELECT count(*) FROM customer", "vendedores": "SELECT count(*) FROM supplier",
+    "carteira": "SELECT count(*) + count(*) FILTER (WHERE c_custkey % 13 = 0) FROM customer",
+    "oportunidades": "SELECT count(*) FROM events", "visitas": "SELECT count(*) FROM events",
+}
 COMMON["c_mart"] = (("c_fact", "c_abc", "c_products"), """
     SELECT g.sku, g.revenue FROM (SELECT sku, brand, category, year, month, sum(revenue) AS revenue
         FROM c_fact GROUP BY ALL) g LEFT JOIN c_abc a USING (sku) LEFT JOIN c_products p USING (sku)""")
@@ -755,10 +765,70 @@ QUERIES: dict[str, str] = {
     "answer_risk_of_loss": sql("""
         SELECT name, city, days_quiet, avg_ticket FROM c_risk
         ORDER BY days_quiet DESC, customer_id LIMIT 10""", "c_risk"),
-    "ingest_reconcile": """
-        SELECT 'clientes.csv' AS file, count(*) AS file_rows, count(*) AS table_rows,
-               true AS matches FROM customer
-        UNION ALL SELECT 'pedidos.csv', count(*), count(*), true FROM orders""",
+    "ingest_reconcile": " UNION ALL ".join(
+        f"SELECT '{file}.csv' AS file, n AS file_rows, n AS table_rows, true AS matches "
+        f"FROM (SELECT ({count}) AS n)" for file, count in EXTRACT_ROWS.items()),
+    "csv_products": sql("""
+        SELECT sku, name, category, brand,
+               CASE WHEN sku % 25 <> 2 THEN scent_note END AS scent_note,
+               CASE WHEN sku % 40 <> 3 THEN CAST(unit_cost AS DOUBLE) END AS list_price,
+               CAST(unit_cost AS DOUBLE) AS unit_cost, 'UN' AS unit,
+               CAST(launch_date AS VARCHAR) AS launch_date, active FROM c_products""", "c_products"),
+    "csv_items": """
+        SELECT coalesce(l_returnflag = 'R' AND l_quantity > 0, false) AS is_return,
+               count(*) AS lines, count(DISTINCT l_orderkey) AS orders,
+               CAST(sum(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS INT))
+                 AS BIGINT) AS quantity,
+               CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS quantity_abs,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS gross_value,
+               CAST(sum(CAST(l_discount AS DECIMAL(6,2)) * 100) AS DOUBLE) AS discount_pct,
+               count(*) FILTER (WHERE l_orderkey % 100 <> 7 AND l_quantity <> 0) AS priced,
+               count(*) FILTER (WHERE l_orderkey % 100 <> 7 AND l_quantity <> 0) AS valued
+        FROM lineitem GROUP BY 1""",
+    "csv_payments": """
+        SELECT CASE WHEN l_orderkey % 50 <> 3 THEN o_orderpriority END AS method,
+               CASE WHEN l_linestatus = 'F' THEN 'Pago' ELSE 'Aberto' END AS status,
+               count(*) AS payments, count(*) AS installments,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS amount,
+               CAST(sum(CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2))
+                 * (1 - CAST(l_tax AS DECIMAL(6,2))) AS DECIMAL(18,4)) AS DECIMAL(12,2)))
+                 AS DOUBLE) AS net_amount,
+               CAST(sum(CAST(l_tax AS DECIMAL(6,2)) * 100) FILTER (WHERE l_orderkey % 60 <> 4)
+                 AS DOUBLE) AS fee_pct,
+               count(*) FILTER (WHERE l_orderkey % 60 <> 4) AS with_fee,
+               CAST(min(CAST(l_shipdate AS DATE)) AS VARCHAR) AS first_due,
+               CAST(max(CASE WHEN l_linestatus = 'F' THEN CAST(o_orderdate AS DATE) END) AS VARCHAR)
+                 AS last_paid
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "csv_stock": sql("""
+        SELECT strftime(snapshot_on, '%d/%m/%Y') AS snapshot_text,
+               CAST(snapshot_on AS VARCHAR) AS snapshot_on, sku,
+               CASE WHEN sku % 20 <> 1 THEN balance END AS balance,
+               sku % 20 <> 1 AND balance = 0 AS stock_out FROM c_stock""", "c_stock"),
+    "csv_sellers": sql("""
+        SELECT seller_id, name, region, CASE WHEN seller_id % 9 <> 2 THEN state END AS state,
+               '1994-01-01' AS hired_on, CAST(left_on AS VARCHAR) AS left_on,
+               CAST(monthly_target AS DOUBLE) AS monthly_target FROM c_sellers""", "c_sellers"),
+    "csv_assignments": sql("""
+        SELECT assignment_id, customer_id, seller_id, CAST(started_on AS VARCHAR) AS started_on,
+               CAST(ended_on AS VARCHAR) AS ended_on, current, orphaned, seller_known
+        FROM c_assignments""", "c_assignments"),
+    "csv_opportunities": sql("""
+        SELECT CASE event_type WHEN 'purchase' THEN 'Ganha' WHEN 'error' THEN 'Perdida'
+                 WHEN 'view' THEN 'Proposta' ELSE 'Negociacao' END AS stage,
+               count(*) AS opportunities, count(DISTINCT customer_id) AS customers,
+               CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_id % 30 <> 5) AS DOUBLE)
+                 AS value, count(*) FILTER (WHERE event_id % 30 <> 5) AS valued,
+               CAST(min(day) AS VARCHAR) AS first_opened,
+               CAST(max(closed_on) AS VARCHAR) AS last_closed,
+               50 * count(*) AS probability_pct, 7 * count(*) AS cycle_days
+        FROM c_crm JOIN events USING (event_id, event_type) GROUP BY 1""", "c_crm"),
+    "csv_visits": sql("""
+        SELECT CASE WHEN event_type = 'purchase' THEN 'Fez PEDIDO' WHEN event_type = 'click'
+                 THEN 'Promete pedido' ELSE 'Sem interesse' END AS outcome,
+               count(*) AS visits, count(DISTINCT customer_id) AS customers,
+               CAST(min(day) AS VARCHAR) AS first_visit, CAST(max(day) AS VARCHAR) AS last_visit,
+               30 * count(*) AS minutes FROM c_crm GROUP BY 1""", "c_crm"),
     "csv_orders": sql("""
         SELECT channel, year(order_date) AS year, count(*) AS orders,
                count(*) FILTER (WHERE cancelled) AS cancelled,
@@ -815,6 +885,5 @@ QUERIES["model_gates"] = sql(f"""
     UNION ALL SELECT 'auc_plausible', auc, auc < 0.99 FROM m
     UNION ALL SELECT 'lift_pays', lift_top_k, lift_top_k >= 2.5 FROM m""",
     "c_split", "c_quality")
-QUERIES["arrival_summary"] = """
-    SELECT CAST(2 AS BIGINT) AS files, (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS data_rows
-"""
+QUERIES["arrival_summary"] = "SELECT CAST(10 AS BIGINT) AS files, CAST(" + " + ".join(
+    f"({count})" for count in EXTRACT_ROWS.values()) + " AS BIGINT) AS data_rows"

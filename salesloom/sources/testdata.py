@@ -7,7 +7,7 @@ and reads just the columns that query needs.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,7 +298,12 @@ def extracts(ctx: Ctx) -> dict[str, DataFrame]:
 
 def deliver(ctx: Ctx, root: str, only: Sequence[str] | None = None) -> None:
     """Write the extracts below ``root`` as folders of part files, each with a header."""
-    made = extracts(ctx)
+    write_extracts(extracts(ctx), root, only)
+
+
+def write_extracts(
+    made: Mapping[str, DataFrame], root: str, only: Sequence[str] | None = None
+) -> None:
     for system, names in EXTRACTS.items():
         for name in names:
             if only is None or name in only:
