@@ -7,6 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from salesloom.llm import oracle
 from salesloom.llm.decontaminate import op7_decontaminate
 from salesloom.llm.html_text import op8_html_text
 from salesloom.llm.lattice import op9_sentencepiece
@@ -24,4 +25,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_decontaminate, op8_html_text, op9_sentencepiece, op10_toxicity)
 } | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.QUERIES
