@@ -8,6 +8,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ import oracle  # noqa: E402
 from salesloom.context import SESSION_CONF, Ctx, shared_root, size_shuffles  # noqa: E402
 from salesloom.functions import columns as C  # noqa: E402
 from salesloom.functions import table_functions as fn  # noqa: E402
-from salesloom.operators.contracts import Check, violation_counts  # noqa: E402
+from salesloom.operators.contracts import Check, enforce, violation_counts  # noqa: E402
 from salesloom.operators.stats import auc, calibration, lift_at_k, score_bands  # noqa: E402
 from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
 from salesloom.plans import marts, metrics, propensity, quality, queue, silver  # noqa: E402
@@ -147,15 +148,21 @@ def q_discontinued(ctx: Ctx) -> DataFrame:
 
 
 def q_conversion_losses(ctx: Ctx) -> DataFrame:
-    return silver.conversion_losses(ctx["raw.customers"], {
-        "data_cadastro": C.parse_date("data_cadastro"), "cnpj": F.nullif(
-            C.tax_id_digits("cnpj"), F.lit("")),
-    })
+    """Of every typed column of the ten extracts: values in the text and values lost by typing."""
+    return reduce(DataFrame.unionByName, [
+        silver.conversion_losses(raw_extract(ctx, name), typed).withColumn("extract", F.lit(name))
+        for name, typed in silver.typed_columns().items()
+    ])
 
 
 def q_contracts(ctx: Ctx) -> DataFrame:
-    checks = [*silver.CUSTOMER_CHECKS, Check("tax_id_valid", "tax_id_valid")]
-    return violation_counts(silver.standardise_customers(ctx["raw.customers"]), checks)
+    """Broken row contracts of customers, orders and items."""
+    customers = [*silver.CUSTOMER_CHECKS, Check("tax_id_valid", "tax_id_valid")]
+    return reduce(DataFrame.unionByName, [
+        violation_counts(silver.standardise_customers(ctx["raw.customers"]), customers),
+        violation_counts(silver.clean_orders(raw_extract(ctx, "pedidos")), silver.ORDER_CHECKS),
+        violation_counts(silver.clean_items(raw_extract(ctx, "itens_pedido")), silver.ITEM_CHECKS),
+    ])
 
 
 def q_assignment(ctx: Ctx) -> DataFrame:
@@ -412,7 +419,8 @@ def q_csv_products(ctx: Ctx) -> DataFrame:
 
 def q_csv_items(ctx: Ctx) -> DataFrame:
     """Lines, units and values of order lines that went through text; dirty prices are NULL."""
-    return silver.clean_items(raw_extract(ctx, "itens_pedido")).groupBy("is_return").agg(
+    kept = enforce(silver.clean_items(raw_extract(ctx, "itens_pedido")), silver.ITEM_CHECKS)
+    return kept.groupBy("is_return").agg(
         F.count(F.lit(1)).alias("lines"), F.countDistinct("order_id").alias("orders"),
         F.sum("quantity").alias("quantity"), F.sum("quantity_abs").alias("quantity_abs"),
         F.sum("gross_value").alias("gross_value"), F.sum("discount_pct").alias("discount_pct"),
@@ -466,7 +474,8 @@ def q_csv_visits(ctx: Ctx) -> DataFrame:
 def q_csv_orders(ctx: Ctx) -> DataFrame:
     """Net value per channel and year of orders that went through text."""
     raw = ingest.ingest_csv(ctx.spark, delivered(ctx), "erp", "pedidos")
-    return silver.clean_orders(raw).groupBy("channel", "year").agg(
+    kept = enforce(silver.clean_orders(raw), silver.ORDER_CHECKS)
+    return kept.groupBy("channel", "year").agg(
         F.count(F.lit(1)).alias("orders"), F.count_if("cancelled").alias("cancelled"),
         F.sum("net_value").alias("net_value"),
     )

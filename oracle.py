@@ -252,6 +252,34 @@ def features_of(table: str, names: tuple[str, ...]) -> str:
     return sql(f"SELECT customer_id, {picked} FROM {table}", table)
 
 
+# of each extract: where its rows are, and of each typed column when it is filled and when lost
+ALWAYS, NEVER = "true", "false"
+TYPED = [
+    ("produtos", "part", [
+        ("data_lancamento", "p_partkey % 6 = 0", NEVER), ("preco_tabela", ALWAYS, "p_partkey % 40 = 3"),
+        ("custo_unitario", ALWAYS, NEVER)]),
+    ("pedidos", "orders", [("data_pedido", ALWAYS, NEVER), ("valor_total", ALWAYS, NEVER)]),
+    ("itens_pedido", "lineitem", [
+        ("quantidade", ALWAYS, NEVER), ("valor_bruto", ALWAYS, NEVER), ("desconto_pct", ALWAYS, NEVER),
+        ("preco_praticado", ALWAYS, "l_orderkey % 100 = 7")]),
+    ("pagamentos", "lineitem JOIN orders ON l_orderkey = o_orderkey", [
+        ("data_vencimento", ALWAYS, NEVER), ("data_pagamento", "l_linestatus = 'F'", NEVER),
+        ("parcelas", ALWAYS, NEVER), ("valor", ALWAYS, NEVER),
+        ("taxa_pct", ALWAYS, "l_orderkey % 60 = 4"), ("valor_liquido", ALWAYS, NEVER)]),
+    ("estoque", "c_stock", [("data_snapshot", ALWAYS, NEVER), ("saldo", ALWAYS, "sku % 20 = 1")]),
+    ("clientes", "c_rawcust", [
+        ("data_cadastro", ALWAYS, "registered_on IS NULL"), ("cnpj", ALWAYS, "digits = ''")]),
+    ("vendedores", "c_sellers", [
+        ("data_admissao", ALWAYS, NEVER), ("data_desligamento", "left_on IS NOT NULL", NEVER),
+        ("meta_mensal", "monthly_target IS NOT NULL", NEVER)]),
+    ("carteira", "c_assignments", [
+        ("data_inicio", ALWAYS, NEVER), ("data_fim", "ended_on IS NOT NULL", NEVER)]),
+    ("visitas", "events", [("data_visita", ALWAYS, NEVER), ("duracao_min", ALWAYS, NEVER)]),
+    ("oportunidades", "c_crm", [
+        ("data_abertura", ALWAYS, NEVER), ("data_fechamento", "closed_on IS NOT NULL", NEVER),
+        ("probabilidade_pct", ALWAYS, NEVER), ("valor_estimado", ALWAYS, "event_id % 30 = 5"),
+        ("ciclo_dias", ALWAYS, NEVER)]),
+]
 # rows of each extract of a delivery
 EXTRACT_ROWS = {
     "produtos": "SELECT count(*) FROM part", "pedidos": "SELECT count(*) FROM orders",
@@ -480,18 +508,26 @@ QUERIES: dict[str, str] = {
     "assignment_state": sql("""
         SELECT assignment_id, customer_id, seller_id, current, orphaned, seller_known
         FROM c_assignments""", "c_assignments"),
-    "conversion_losses": sql("""
-        SELECT 'data_cadastro' AS "column", count(*) AS filled,
-               count(*) FILTER (WHERE registered_on IS NULL) AS lost FROM c_rawcust
-        UNION ALL SELECT 'cnpj', count(*), count(*) FILTER (WHERE digits = '') FROM c_rawcust""",
-        "c_rawcust"),
+    "conversion_losses": sql(" UNION ALL ".join(
+        f"SELECT '{extract}' AS extract, '{column}' AS \"column\", "
+        f"count(*) FILTER (WHERE {filled}) AS filled, "
+        f"count(*) FILTER (WHERE ({filled}) AND {lost}) AS lost FROM {source}"
+        for extract, source, columns in TYPED for column, filled, lost in columns), "c_rawcust",
+        "c_stock", "c_assignments", "c_sellers", "c_crm"),
     "contracts_enforce": sql("""
         SELECT count(*) AS row_count, 'tax_id_length' AS contract,
                count(*) FILTER (WHERE length(tax_id) <> 14) AS broken FROM c_identity
         UNION ALL SELECT count(*), 'registered_on_present',
                count(*) FILTER (WHERE registered_on IS NULL) FROM c_identity
         UNION ALL SELECT count(*), 'tax_id_valid', count(*) FILTER (WHERE NOT tax_id_valid)
-        FROM c_identity""", "c_identity"),
+        FROM c_identity
+        UNION ALL SELECT count(*), 'order_date_present',
+               count(*) FILTER (WHERE order_date IS NULL) FROM c_orders
+        UNION ALL SELECT count(*), 'cancelled_has_no_value',
+               count(*) FILTER (WHERE cancelled AND net_value <> 0) FROM c_orders
+        UNION ALL SELECT count(*), 'quantity_positive',
+               count(*) FILTER (WHERE quantity = 0) FROM c_lines""", "c_identity", "c_orders",
+        "c_lines"),
     "stage_counts": sql("""
         SELECT count(*) AS row_count, count(*) FILTER (WHERE is_return) AS returns,
                count(*) FILTER (WHERE quantity <> 0) AS priced FROM c_lines""", "c_lines"),

@@ -242,6 +242,36 @@ def conversion_losses(raw: DataFrame, typed: Mapping[str, Column]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def typed_columns() -> dict[str, dict[str, Column]]:
+    """Of each extract the columns that are typed, and how."""
+    dates = {
+        "produtos": ["data_lancamento"], "pedidos": ["data_pedido"],
+        "pagamentos": ["data_vencimento", "data_pagamento"], "estoque": ["data_snapshot"],
+        "clientes": ["data_cadastro"], "vendedores": ["data_admissao", "data_desligamento"],
+        "carteira": ["data_inicio", "data_fim"], "visitas": ["data_visita"],
+        "oportunidades": ["data_abertura", "data_fechamento"],
+    }
+    numbers = {
+        "produtos": {"preco_tabela": "decimal(12,2)", "custo_unitario": "decimal(12,2)"},
+        "pedidos": {"valor_total": "decimal(18,2)"},
+        "itens_pedido": {"quantidade": "int", "valor_bruto": "decimal(12,2)",
+                         "desconto_pct": "decimal(6,2)", "preco_praticado": "decimal(12,2)"},
+        "pagamentos": {"parcelas": "int", "valor": "decimal(12,2)", "taxa_pct": "decimal(6,2)",
+                       "valor_liquido": "decimal(12,2)"},
+        "estoque": {"saldo": "int"}, "vendedores": {"meta_mensal": "decimal(12,2)"},
+        "oportunidades": {"probabilidade_pct": "int", "valor_estimado": "decimal(18,2)",
+                          "ciclo_dias": "int"},
+        "visitas": {"duracao_min": "int"},
+    }
+    typed: dict[str, dict[str, Column]] = {}
+    for name, columns in dates.items():
+        typed.setdefault(name, {}).update({c: C.parse_date(c) for c in columns})
+    for name, kinds in numbers.items():
+        typed.setdefault(name, {}).update({c: C.try_number(c, k) for c, k in kinds.items()})
+    typed["clientes"]["cnpj"] = F.nullif(C.tax_id_digits("cnpj"), F.lit(""))
+    return typed
+
+
 CLEANERS = {
     "produtos": ("products", clean_products),
     "pedidos": ("orders", clean_orders),
