@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, stored, table
+from salesloom.llm.common import column, ship, stored, table
 
 THRESHOLD = 0.6
 QUESTION_SHARE = 0.7
@@ -242,6 +242,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     with the best score.  Other columns are ignored; empty tables give no row.
     """
     spark = docs.sparkSession
+    ship(spark)
     items = stored(benchmark.select(
         column(benchmark, "item_id", "long").alias("item_id"),
         column(benchmark, "text", "string").alias("text"),

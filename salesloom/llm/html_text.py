@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, stored, table
+from salesloom.llm.common import column, ship, stored, table
 
 VOTES = 3  # containers a page may vote for
 CLASSES_IN_PATH = 3
@@ -277,6 +277,7 @@ def extract(pages: DataFrame) -> DataFrame:
     empty text.  A NULL url counts as one nameless host.  Repeated rows give a
     row each; other columns are ignored; an empty table gives no row.
     """
+    ship(pages.sparkSession)
     known = stored(host_paths(pages))
     rows = pages.select(
         column(pages, "page_id", "long").alias("page_id"), column(pages, "url", "string").alias("url"),

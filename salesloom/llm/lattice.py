@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, stored, table
+from salesloom.llm.common import column, ship, stored, table
 from salesloom.llm.pieces import MODEL, PRE_TOKEN, Pieces, load
 
 DICTIONARY = 200_000
@@ -149,6 +149,7 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
     """
     pieces = load(model)
     spark = docs.sparkSession
+    ship(spark)
     known = viterbi(common_words(docs, dictionary), pieces).toArrow()
     ready = {w: np.array(i, np.int32).tobytes()
              for w, i in zip(known.column(0).to_pylist(), known.column(1).to_pylist())}
@@ -193,6 +194,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` (with ``ids``) and ``decoded``, the text that the ids stand for; NULL for NULL."""
     pieces = load(model)
     spark = encoded.sparkSession
+    ship(spark)
     size = 1 + max(max(pieces.byte_ids), *(i for i, _ in pieces.table.values()))
     strings = [b""] * size
     for piece, (i, _) in pieces.table.items():

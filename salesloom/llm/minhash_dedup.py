@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, stored, table
+from salesloom.llm.common import column, ship, stored, table
 from salesloom.llm.components import components
 from salesloom.llm.shingles import MinHash, WordHashes, mixed, shingle_set
 
@@ -251,6 +251,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SIZE,
     take no part in links and are kept, with NULL component.  Ties go to the
     smallest doc_id.  Other columns are ignored; an empty table gives no row.
     """
+    ship(docs.sparkSession)
     signed = stored(signatures(docs, size))
     # equal sets are one node, named by the smallest doc_id
     nodes = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy(

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, table
+from salesloom.llm.common import column, ship, table
 
 LEAST_NOVELTY = 0.9  # added bytes for each byte of a candidate
 AROUND = 200  # code points on either side that count as the surrounding code
@@ -122,6 +122,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     NULL texts count as empty.  Each row gives one row, repeated or not; other
     columns are ignored; an empty table gives no row.
     """
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         names = ("start", "end", "kind", "base", "novelty")
@@ -151,6 +153,8 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
 
     All other columns and rows stay as they are, NULL texts too.
     """
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def mask(texts):
         novelty = Novelty()

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm.common import column, table
+from salesloom.llm.common import column, ship, table
 from salesloom.llm.pieces import COUNT, MODEL, PRE_TOKEN, Pieces, load
 
 REMEMBERED = 300_000  # pre-tokens whose counts a task keeps between batches; only for speed
@@ -54,6 +54,7 @@ def count_tokens(docs: DataFrame, model: str = MODEL) -> DataFrame:
     NULL and empty texts have none.  Repeated rows are counted each; other
     columns are ignored; an empty table gives no row.  No shuffle.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
     split = re.compile(PRE_TOKEN)
 

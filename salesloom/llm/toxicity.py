@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import column, held_out, stored, table
+from salesloom.llm.common import column, held_out, ship, stored, table
 
 TRAINING_ROWS = 15_000  # about as many labelled rows are learned from, by hash of doc_id
 LEXICON = 3_000  # entries of a lexicon at most, the most telling ones
@@ -211,6 +211,7 @@ class Model:
 
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, score) of every row."""
+        ship(docs.sparkSession)
         rows = docs.select(
             column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"),
             F.lit(0).alias("which"), F.lit(0).alias("label"))
@@ -234,6 +235,7 @@ def raw_scores(trees, rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, trees: int = TREES,
         depth: int = DEPTH) -> Model:
     """Learn from labelled rows that aren't held out; with one class only, a constant."""
+    ship(docs.sparkSession)
     rows = stored(training_rows(docs, labels, most))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     base = sizes.get(1, 0) / max(1, sum(sizes.values()))
