@@ -10,7 +10,7 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from salesloom.context import SESSION_CONF, Ctx, shared_root, size_shuffles  # n
 from salesloom.functions import columns as C  # noqa: E402
 from salesloom.functions import table_functions as fn  # noqa: E402
 from salesloom.operators.contracts import Check, enforce, violation_counts  # noqa: E402
-from salesloom.operators.stats import auc, calibration, lift_at_k, score_bands  # noqa: E402
+from salesloom.operators.stats import BAND_NAMES, auc, calibration, lift_at_k, score_bands  # noqa: E402
 from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
 from salesloom.plans import marts, metrics, propensity, quality, queue, silver  # noqa: E402
 from salesloom.sources import arrival, ingest, testdata  # noqa: E402
@@ -107,7 +107,8 @@ def trained_model(ctx: Ctx):
     key = "_model"
     if not hasattr(ctx, key):
         setattr(ctx, key, propensity.train(
-            split(ctx).where(~F.col("holdout")), partitions=TRAINING_PARTITIONS
+            split(ctx).where(~F.col("holdout")), iterations=propensity.ITERATIONS,
+            partitions=TRAINING_PARTITIONS,
         ))
     return getattr(ctx, key)
 
@@ -234,24 +235,38 @@ def q_gates(ctx: Ctx) -> DataFrame:
     return propensity.model_gates(metrics_row(ctx)).select("check", "observed", "passed")
 
 
+# What trees score differs from engine to engine; these queries return what must not differ.
 def q_propensity(ctx: Ctx) -> DataFrame:
-    return propensity.propensity_scores(
+    """Everybody scored by the fitted model: version, and whether score and band are possible."""
+    scored = propensity.propensity_scores(
         ctx.store, trained_model(ctx), ctx["features.score"], version=1
     )
+    return scored.select(
+        "customer_id", "version", F.col("score").between(0, 1).alias("is_probability"),
+        F.col("band").isin(*BAND_NAMES).alias("has_band"),
+    )
 
 
 def q_oof(ctx: Ctx) -> DataFrame:
+    """Everybody scored by the model that has not seen their fold."""
     return propensity.oof_scores(
-        ctx.store, ctx["features.train"], partitions=TRAINING_PARTITIONS
-    ).select(
-        "customer_id", "bought", "fold", "score"
-    )
+        ctx.store, ctx["features.train"], iterations=propensity.ITERATIONS,
+        partitions=TRAINING_PARTITIONS,
+    ).select("customer_id", "bought", "fold", F.col("score").between(0, 1).alias("is_probability"))
 
 
 def q_importance(ctx: Ctx) -> DataFrame:
-    return propensity.permutation_importance(
+    """The ten features whose shuffling costs most: their places, and whether they fall."""
+    top = propensity.permutation_importance(
         ctx.store, trained_model(ctx), split(ctx).where("holdout")
     )
+    order = Window.orderBy(F.desc("importance_mean"), "feature")  # ten rows
+    return top.select(
+        F.row_number().over(order).alias("place"),
+        F.col("feature").isin(*features.FEATURES).alias("is_feature"),
+        F.coalesce(F.lag("importance_mean").over(order) >= F.col("importance_mean"), F.lit(True))
+        .alias("in_order"),
+    )
 
 
 def q_queue(ctx: Ctx) -> DataFrame:

