@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from salesloom.llm.common import column, ship, stored, table
 from salesloom.llm.pieces import MODEL, PRE_TOKEN, Pieces, load
 
-DICTIONARY = 200_000
-REMEMBERED = 100_000  # rare pre-tokens a task keeps; only for speed
+DICTIONARY = 300_000
+REMEMBERED = 200_000  # rare pre-tokens a task keeps; only for speed
+ROWS = 500  # of a batch taken at a time, so that memory follows neither batches nor tables
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -92,25 +93,30 @@ def viterbi(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def best_path(word: str, pieces: Pieces) -> list[int]:
-    """The same recurrence for one word."""
-    find, longest = pieces.table.get, pieces.longest
-    weights, starts, ids = [0], [0], [-2]
-    for end in range(1, len(word) + 1):
-        best = None
-        for start in range(max(0, end - longest), end):
+    """The same recurrence for one word, from each start over what can still become a piece."""
+    find = pieces.prefixes.get
+    size = len(word)
+    weights: list[int | None] = [0] + [None] * size
+    starts, ids = [0] * (size + 1), [-2] * (size + 1)
+    for start in range(size):
+        here = weights[start]
+        for end in range(start + 1, size + 1):
             piece = find(word[start:end])
+            if end == start + 1 and (piece is None or piece[0] < 0):
+                weight, i = here + pieces.weight_of_bytes(word[start]), -1
+            elif piece is None:
+                break
+            elif piece[0] < 0:
+                continue
+            else:
+                weight, i = here + piece[1], piece[0]
+            known = weights[end]
+            if known is None or weight < known:  # on a tie the smaller start came first
+                weights[end], starts[end], ids[end] = weight, start, i
             if piece is None:
-                if start < end - 1:
-                    continue
-                piece = (-1, pieces.weight_of_bytes(word[start]))
-            weight = weights[start] + piece[1]
-            if best is None or weight < best:
-                best, at, i = weight, start, piece[0]
-        weights.append(best)
-        starts.append(at)
-        ids.append(i)
+                break
     out: list[int] = []
-    end = len(word)
+    end = size
     while end:
         start = starts[end]
         if ids[end] >= 0:
@@ -158,70 +164,117 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, common = shared.value
-        rare: dict[str, bytes] = {}
-
-        def ids_of(word: str) -> bytes:
-            found = common.get(word) or rare.get(word)
-            if found is None:
-                if len(rare) >= REMEMBERED:
-                    rare.clear()
-                found = rare[word] = np.array(best_path(word, own), np.int32).tobytes()
-            return found
-
-        for batch in batches:
-            ends, parts, total = [0], [], 0
-            valid = []
-            for text in batch.column(1):
-                words = text.as_py()
-                valid.append(words is None)
-                if words:
-                    ids = b"".join(map(ids_of, split.findall(words)))
-                    parts.append(ids)
-                    total += len(ids) // 4
-                ends.append(total)
-            values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-            lists = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), values, mask=pa.array(valid, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), lists], ["doc_id", "text", "ids"])
+        known = WordIds(own, common)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                ends, parts, total, missing = [0], [], 0, []
+                for text in batch.column(1).to_pylist():
+                    missing.append(text is None)
+                    if text:
+                        ids = b"".join(map(known.__getitem__, split.findall(text)))
+                        parts.append(ids)
+                        total += len(ids) // 4
+                        known.trim()
+                    ends.append(total)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)),
+                    mask=pa.array(missing, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), lists], ["doc_id", "text", "ids"])
 
     return docs.select(
         column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")
     ).mapInArrow(run, "doc_id long, text string, ids array<int>")
 
 
+class WordIds(dict):
+    """Ids of pre-tokens as bytes: the common ones, and rare ones as they turn up."""
+
+    def __init__(self, pieces: Pieces, common: dict[str, bytes]):
+        super().__init__(common)
+        self.pieces = pieces
+        self.rare: list[str] = []
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = np.array(best_path(word, self.pieces), np.int32).tobytes()
+        self.rare.append(word)
+        return ids
+
+    def trim(self) -> None:
+        if len(self.rare) > REMEMBERED:
+            for word in self.rare:
+                del self[word]
+            self.rare.clear()
+
+
+class Strings:
+    """The bytes of every id, side by side, for decoding many ids at once."""
+
+    def __init__(self, pieces: Pieces):
+        size = 1 + max(max(pieces.byte_ids), *(i for i, _ in pieces.table.values()))
+        strings = [b""] * size
+        for piece, (i, _) in pieces.table.items():
+            strings[i] = piece.encode()
+        for value, i in enumerate(pieces.byte_ids):
+            strings[i] = bytes([value])
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.length)[:-1]))
+
+    def decode(self, ids: np.ndarray) -> str:
+        n = self.length[ids]
+        before = np.cumsum(n) - n
+        at = np.repeat(self.first[ids] - before, n) + np.arange(int(n.sum()))
+        return self.bytes[at].tobytes().decode("utf-8", "replace")
+
+
+def _rows(batch: pa.RecordBatch, name: str) -> Iterator[np.ndarray | None]:
+    """The ids of each row, a view of the batch."""
+    lists = batch.column(batch.schema.get_field_index(name))
+    values = lists.values.to_numpy(zero_copy_only=False)
+    ends = lists.offsets.to_numpy()
+    for k, valid in enumerate(lists.is_valid().to_pylist()):
+        yield values[ends[k]:ends[k + 1]] if valid else None
+
+
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """``encoded`` (with ``ids``) and ``decoded``, the text that the ids stand for; NULL for NULL."""
-    pieces = load(model)
-    spark = encoded.sparkSession
-    ship(spark)
-    size = 1 + max(max(pieces.byte_ids), *(i for i, _ in pieces.table.values()))
-    strings = [b""] * size
-    for piece, (i, _) in pieces.table.items():
-        strings[i] = piece.encode()
-    for value, i in enumerate(pieces.byte_ids):
-        strings[i] = bytes([value])
-    shared = spark.sparkContext.broadcast(strings)
-
-    @F.pandas_udf("string")
-    def text_of(ids):
-        get = shared.value.__getitem__
-        return ids.map(lambda x: None if x is None else b"".join(map(get, x.tolist())).decode(
-            "utf-8", "replace"))
-
-    return encoded.withColumn("decoded", text_of("ids"))
-
-
-def digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit numbers), round_trip."""
-    @F.pandas_udf("long")
-    def crc(ids):
-        return ids.map(lambda x: zlib.crc32(b"" if x is None else np.asarray(x, "<i4").tobytes()))
-
-    return decode(encoded).select(
-        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
-        crc("ids").alias("ids_crc32"), F.col("decoded").eqNullSafe(F.col("text"))
-        .alias("round_trip"))
+    """(doc_id, decoded) of ``encoded(doc_id, ids)``: the text the ids stand for; NULL for NULL."""
+    ship(encoded.sparkSession)
+    shared = encoded.sparkSession.sparkContext.broadcast(Strings(load(model)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                texts = [None if x is None else shared.value.decode(x) for x in _rows(batch, "ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(texts, pa.string())], ["doc_id", "decoded"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded string")
+
+
+def digest(encoded: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit numbers), round_trip.
+
+    Decodes every row of ``encode``'s result and compares it with its text.
+    """
+    ship(encoded.sparkSession)
+    shared = encoded.sparkSession.sparkContext.broadcast(Strings(load(model)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, sums, same = [], [], []
+            for text, ids in zip(batch.column(1), _rows(batch, "ids")):
+                sizes.append(0 if ids is None else len(ids))
+                sums.append(zlib.crc32(b"" if ids is None else ids.astype("<i4").tobytes()))
+                same.append((None if ids is None else shared.value.decode(ids)) == text.as_py())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
+                 pa.array(same, pa.bool_())], ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+
+    return encoded.select("doc_id", "text", "ids").mapInArrow(
+        run, "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

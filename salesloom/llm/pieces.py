@@ -25,6 +25,7 @@ class Pieces:
     byte_ids: tuple[int, ...]  # id of each of the 256 byte tokens
     byte_weight: int
     longest: int
+    prefixes: dict[str, tuple[int, int]]  # every prefix of a piece; id -1 if it is none itself
 
     def weight_of_bytes(self, char: str) -> int:
         return len(char.encode("utf-8", "surrogatepass")) * self.byte_weight
@@ -53,4 +54,5 @@ def load(model: str = MODEL) -> Pieces:
         raise ValueError("the vocabulary has no byte tokens to fall back on")
     if len(table) > MOST_PIECES:
         raise ValueError(f"{len(table)} pieces; at most {MOST_PIECES} are sent to tasks")
-    return Pieces(table, tuple(byte_ids), BYTE_COST * COUNT + 1, max(map(len, table)))
+    prefixes = {piece[:n]: (-1, 0) for piece in table for n in range(1, len(piece))} | table
+    return Pieces(table, tuple(byte_ids), BYTE_COST * COUNT + 1, max(map(len, table)), prefixes)
