@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from salesloom.sources.manifest import EXTRACTS
 
 CORRUPT = "_corrupt_record"
-RESCUED = "_rescued_data"
 
 
 class IngestError(RuntimeError):
@@ -46,7 +45,7 @@ def ingest_csv(
     df = read_text_csv(spark, f"{root}/{system}/{table}.csv")
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
     return (
-        df.drop(RESCUED).withColumn("_ingested_at", stamp)
+        df.withColumn("_ingested_at", stamp)
         .withColumn("_source_path", F.lit(f"{system}/{table}.csv"))
     )
 
