@@ -22,13 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+BATCH_ROWS = 1000  # texts are long: so many of them go to a Python task at a time, at most
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package's code to the executors, once an application.
 
     Functions that run there import it, and executors need not have it installed.
+    The session's Arrow batches are cut to ``BATCH_ROWS``, if they are larger, which
+    bounds what a task holds on both sides.
     """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-WORDS_KEPT = 400_000  # hashes of words remembered by a worker; only speed depends on it
+WORDS_KEPT = 200_000  # hashes of words remembered by a worker; only speed depends on it
 
 # A-Z only; other letters stay as they are
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))

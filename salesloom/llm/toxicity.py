@@ -58,8 +58,8 @@ def terms(text: str | None) -> set[str]:
 
 
 class Featurizer:
-    REMEMBERED = 300_000  # words a task keeps; only for speed
-    AT_ONCE = 100_000  # words looked up at a time
+    REMEMBERED = 150_000  # words a task keeps; only for speed
+    AT_ONCE = 50_000  # words looked up at a time
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
