@@ -2,14 +2,18 @@
 
 Base patterns (assignments, access keys, long hexadecimal runs) are always
 reported.  Other long mixed strings are candidates if a sensitive word stands
-shortly before them; their worth is what they add to the compressed size of the
-text around them, with a compressor primed by code and identifiers.  Ordinary
-names add little, random strings nearly all of their length.
+shortly before them, or if they go on where such a candidate ends (lines of a
+key, parts of a web token); their worth is what they add to the compressed size
+of the text around them, with a compressor primed by code and identifiers.  It is
+held against what random strings of the same length and alphabet add there, so
+the cut is the same for hexadecimal and base64, short and long.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,7 +23,8 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import column, ship, table
 
-LEAST_NOVELTY = 0.9  # added bytes for each byte of a candidate
+LEAST_NOVELTY = 0.85  # added bytes for each byte that a random string of that alphabet adds
+REFERENCES = 2  # random strings that a candidate is held against
 AROUND = 200  # code points on either side that count as the surrounding code
 NEARBY = 60  # code points before a candidate that are searched for a sensitive word
 LEAST_LENGTH = 20
@@ -32,6 +37,12 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_LENGTH)
+# What may stand between two candidates that are one secret: the point of a web token, a line
+# end, written out or not, with the quotes and signs of a string that goes on.
+_LINE_END = r"""(?:\\r)?(?:\\n)?["']?[\x20\t+\\]*\r?\n[\x20\t+>#*]*["']?"""
+JOINT = re.compile(rf"\.|\\(?:r\\)?|{_LINE_END}")
+KEY_TAIL = re.compile(rf"""(?:\\(?:r\\)?n|{_LINE_END})([A-Za-z0-9+/=]{{1,{LEAST_LENGTH - 1}}})"""
+                      r"""(?=[\\rn\s"'+>#*]+-----END)""")
 SENSITIVE = re.compile(
     r"\b(?:auth|authorization|bearer|credentials?|private|signature|access|key|pwd|pass|login|"
     r"session|cookie|jwt|secret|token|connection|account_?key|client_?secret)\b",
@@ -58,6 +69,31 @@ _LONG_RUN = bytes(0x78 if c < 128 and (chr(c).isalnum() or chr(c) in "+/_=-") el
                   for c in range(256))
 
 
+_ALPHABETS = [frozenset(a) for a in (
+    "0123456789abcdef", "0123456789ABCDEF", string.hexdigits, string.ascii_uppercase + "234567",
+    string.digits + string.ascii_lowercase, string.digits + string.ascii_uppercase,
+    string.digits + string.ascii_letters)]
+
+
+def alphabet(value: str) -> bytes:
+    """The usual alphabet a string is drawn from, with the signs it holds."""
+    held = set(value.rstrip("="))
+    plain = {c for c in held if c.isalnum()}
+    if sum(c.isalpha() for c in plain) <= 2:
+        usual = plain | set(string.digits)
+    else:
+        usual = next(a for a in _ALPHABETS if plain <= a)
+    return "".join(sorted(usual | held)).encode()
+
+
+def random_strings(value: str) -> list[bytes]:
+    """``REFERENCES`` random strings, always the same, of a string's length and alphabet."""
+    signs = alphabet(value)
+    fold = bytes(signs[c % len(signs)] for c in range(256))
+    return [random.Random(len(value) * REFERENCES + k).randbytes(len(value)).translate(fold)
+            for k in range(REFERENCES)]
+
+
 class Novelty:
     def __init__(self) -> None:
         primed = zstandard.ZstdCompressionDict(DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -65,13 +101,23 @@ class Novelty:
             level=6, dict_data=primed, write_checksum=False, write_content_size=False,
             write_dict_id=False)
 
+    def _added(self, text: str, start: int, end: int, values: list[bytes]) -> list[int]:
+        """Compressed bytes that each value adds to the surroundings of text[start:end]."""
+        around = (text[max(0, start - AROUND):start] + text[end:end + AROUND]).encode(
+            "utf-8", "surrogatepass")
+        without = len(self.compressor.compress(around))
+        return [max(0, len(self.compressor.compress(around + v)) - without) for v in values]
+
     def __call__(self, text: str, start: int, end: int) -> float:
         """Marginal compressed bytes of text[start:end] beside its surroundings, per byte."""
-        before = text[max(0, start - AROUND):start].encode("utf-8", "surrogatepass")
-        after = text[end:end + AROUND].encode("utf-8", "surrogatepass")
         value = text[start:end].encode("utf-8", "surrogatepass")
-        without = len(self.compressor.compress(before + after))
-        return max(0, len(self.compressor.compress(before + after + value)) - without) / len(value)
+        return self._added(text, start, end, [value])[0] / len(value)
+
+    def of_candidate(self, text: str, start: int, end: int) -> tuple[float, float]:
+        """The same of an ASCII string, and as a share of what random strings like it add."""
+        value = text[start:end]
+        own, *others = self._added(text, start, end, [value.encode(), *random_strings(value)])
+        return own / len(value), own * len(others) / max(1, sum(others))
 
 
 def secret_spans(text: str, novelty: Novelty) -> list[tuple[int, int, str, bool, float]]:
@@ -93,20 +139,27 @@ def secret_spans(text: str, novelty: Novelty) -> list[tuple[int, int, str, bool,
         taken.sort()
         k = 0
         reach = -1  # the farthest end of a base span that starts before the candidate ends
+        context = -1  # the end of the last candidate in sensitive context, or of a base span in one
         for m in CANDIDATE.finditer(text):
             while k < len(taken) and taken[k][0] < m.end():
                 reach = max(reach, taken[k][1])
                 k += 1
             if reach > m.start():
+                context = max(reach, m.end())
                 continue
+            if not (SENSITIVE.search(text[max(0, m.start() - NEARBY):m.start()])
+                    or 0 <= context and JOINT.fullmatch(text, context, m.start())):
+                continue
+            context = m.end()
             value = m[0]
             if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
                 continue
-            if not SENSITIVE.search(text[max(0, m.start() - NEARBY):m.start()]):
-                continue
-            worth = novelty(text, m.start(), m.end())
-            if worth >= LEAST_NOVELTY:
+            worth, share = novelty.of_candidate(text, m.start(), m.end())
+            if share >= LEAST_NOVELTY:
                 out.append((m.start(), 3, m.end(), "novel", False, worth))
+                if tail := KEY_TAIL.match(text, m.end()):  # the short last line of a key
+                    out.append((tail.start(1), 3, tail.end(1), "novel", False,
+                                novelty(text, tail.start(1), tail.end(1))))
     return [(s, e, k, b, w) for s, _, e, k, b, w in sorted(out)]
 
 
