@@ -6,7 +6,9 @@ the weighted share of an item that a passage holds and one threshold serves all.
 Bounds come in three steps: contributions of essential terms (those without
 which no item reaches the threshold) are added for all passages of a document at
 once; passages that can reach it run block-max WAND; what it retrieves is
-verified on runs of question and answer words.
+verified on the words that question and answer have in order with a stretch of the
+passage, which a few changed words do not undo, or on runs of their words anywhere
+in the text.
 
 The index is built in Spark and broadcast in blocks of at most about
 ``POSTINGS_PER_BLOCK`` postings; a larger benchmark makes more blocks, each of
@@ -28,6 +30,8 @@ from salesloom.llm.common import column, ship, stored, table
 THRESHOLD = 0.6
 QUESTION_SHARE = 0.7
 ANSWER_SHARE = 0.5
+ORDERED_SHARE = 0.7  # of all words of an item, if they are held in order
+ORDERED_PART = 0.5  # of its answer, then, and of its question, if that lacks more than a word
 RUN = 5  # words of a run that question and answer must share with the text
 LEAST_WORDS = 5  # shorter items can't be told from ordinary prose and are never reported
 POSTINGS_PER_BLOCK = 2_000_000
@@ -63,6 +67,38 @@ def share_of_runs(words: Sequence[bytes], line: bytes) -> float:
     return sum(r in line for r in runs) / len(runs)
 
 
+def positions(words: Sequence[bytes]) -> dict[bytes, int]:
+    """A bit for each place of every word."""
+    out: dict[bytes, int] = {}
+    for k, w in enumerate(words):
+        out[w] = out.get(w, 0) | 1 << k
+    return out
+
+
+def shares_in_order(bits: dict[bytes, int], sizes: tuple[int, int],
+                    words: Sequence[bytes]) -> tuple[float, float]:
+    """Shares of question and answer in the longest common subsequence with the best stretch.
+
+    Stretches have twice the item's words and start every half of them, so that one
+    holds the item with up to half as many words put in.  What the answer adds to the
+    subsequence of the question counts for the answer: it has to follow.
+    """
+    n = sum(sizes)
+    every = (1 << n) - 1
+    best = (-1, 0.0, 0.0)
+    for start in range(0, max(1, len(words) - n), max(1, n // 2)):
+        row = every  # a bit is 0 where one more word of the item is matched
+        for w in words[start:start + 2 * n]:
+            hit = row & bits.get(w, 0)
+            if hit:
+                row = ((row + hit) | (row - hit)) & every
+        missed = (row & ((1 << sizes[0]) - 1)).bit_count()
+        absent = row.bit_count() - missed
+        best = max(best, (n - missed - absent, 1 - missed / sizes[0] if sizes[0] else 1.0,
+                          1 - absent / sizes[1] if sizes[1] else 1.0))
+    return best[1:]
+
+
 class Index:
     """One block of items: impacts, essential terms and block maxima."""
 
@@ -71,6 +107,7 @@ class Index:
         self.threshold = threshold
         self.items = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
+        self.bits = [positions(question + answer) for question, answer in self.parts]
         self.reach = max((len(terms_of(t)) for _, t in items), default=1) or 1
         place = {i: k for k, i in enumerate(self.items)}
         self.terms: dict[bytes, int] = {}
@@ -191,18 +228,31 @@ class Index:
         outside = len(self.count) - 1
         ids = np.fromiter((get(w, outside) for w in words), np.int64, len(words))
         best: dict[int, float] = {}
+        ordered: dict[int, tuple[float, float, float]] = {}
         for start in self.passages(ids):
-            window = np.unique(ids[start:start + 2 * self.reach])
+            end = start + 2 * self.reach
+            window = np.unique(ids[start:end])
             for item, score in self.search([int(t) for t in window if t != outside]).items():
                 best[item] = max(score, best.get(item, 0.0))
+                if ordered.get(item, (0.0,))[0] < 1.0:
+                    question, answer = (len(p) for p in self.parts[item])
+                    shares = shares_in_order(self.bits[item], (question, answer), words[start:end])
+                    whole = (question * shares[0] + answer * shares[1]) / (question + answer)
+                    ordered[item] = max(ordered.get(item, (0.0, 0.0, 0.0)), (whole, *shares))
         if not best:
             return []
         line = b" %s " % b" ".join(words)
         out = []
         for item, score in sorted(best.items()):
             question, answer = (share_of_runs(p, line) for p in self.parts[item])
-            if question >= QUESTION_SHARE and answer >= ANSWER_SHARE:
-                out.append((self.items[item], min(score, 1.0), question, answer))
+            whole, *shares = ordered[item]
+            if question < QUESTION_SHARE or answer < ANSWER_SHARE:
+                lacks = (1 - shares[0]) * len(self.parts[item][0])
+                if (whole < ORDERED_SHARE or shares[1] < ORDERED_PART
+                        or shares[0] < ORDERED_PART and lacks > 1.5):
+                    continue
+                question, answer = shares
+            out.append((self.items[item], min(score, 1.0), question, answer))
         return out
 
 

@@ -129,3 +129,40 @@ def test_a_partly_held_item_is_not_reported(spark):
                            spark.createDataFrame([(7, item), (8, None), (9, "the")],
                                                  "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id) for r in found] == [(1, 7)]
+
+
+def test_lightly_edited_items_are_found_and_clean_passages_are_not(spark):
+    items = [tuple(r) for r in table(spark, "/root/testdata/sf0.01", "benchmark").select(
+        "item_id", "text").collect()]
+    rng = random.Random(11)
+    pool = [w for r in table(spark, SF, "documents").select("text").limit(50).collect()
+            for w in (r.text or "").split()]
+    docs, want = [], set()
+    for k, text in items:
+        words = text.split()
+        for edits in range(5):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), edits):
+                changed[at] = rng.choice(pool)
+            around = [[rng.choice(pool) for _ in range(rng.randrange(1, 90))] for _ in range(2)]
+            docs.append((len(docs), " ".join(around[0] + changed + around[1])))
+            want.add((docs[-1][0], k))
+        mixed = rng.sample(words, len(words))
+        docs.append((-1, " ".join(mixed)))
+    docs.append((-2, " ".join(pool)))
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want - found) <= 0.01 * len(want)
+    assert not [x for x in found if x[0] == -1]
+
+
+def test_an_edited_question_without_its_answer_is_not_reported(spark):
+    question = "which of the two long rivers of the east runs past the old mill at the ford ?"
+    item = f"{question} the slow brown one with five stone bridges"
+    edited = question.replace("rivers", "streams").replace("mill", "barn")
+    docs = [(1, f"a b c {edited} the slow green one with five stone bridges d e f"),
+            (2, f"a b c {edited} nobody ever told them anything about it d e f")]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(1, 7)]
