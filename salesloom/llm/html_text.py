@@ -2,7 +2,9 @@
 
 Each page scores its containers; scores of generalised tag-class paths are added
 up per host in Spark, and every page is extracted again with the path that won
-its host.  A page without that path falls back on its own best container.
+its host.  A page where that path is absent, or holds much less prose than the
+page's own best container, falls back on the latter; the whole page is a
+container where text stands outside all others.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import column, ship, stored, table
 
+ROOT = ":root"  # path of the whole page, where text stands outside all containers
+MOST = 0.5  # share of a page's prose from which parts of a class don't drop an element
+MOST_WHOLE = 0.9  # the same of a whole class, as 'ad' or 'comments', where no article or main has text
+LEAST_PART = 0.25  # of the own best container's prose that the host's path must hold
 VOTES = 3  # containers a page may vote for
 CLASSES_IN_PATH = 3
 
@@ -38,6 +44,8 @@ WORDS_DROPPED = frozenset(
     "newsletter subscribe subscription signup social share sharing related recommended comment "
     "comments commentlist disqus reply replies breadcrumb breadcrumbs popup modal overlay widget "
     "login pagination pager toolbar skip hidden complementary contentinfo search paywall".split())
+# with one of these a class tells what a layout has, not what the element is
+MODIFIERS = frozenset("has no not with without open closed enabled disabled is".split())
 WORDS_MAIN = frozenset("article content post entry story".split())
 BONUS = {"article": 1.6, "main": 1.4}
 
@@ -57,6 +65,11 @@ class Node:
     path: str
     dropped: bool
     parent: Node | None
+    hard: bool = False  # dropped for its tag or its state, not for words in its class
+    words: frozenset[str] = frozenset()  # the words in its class that drop it
+    whole: bool = False  # one of them is all of a class, id or role
+    order: int = 0
+    prose: int = 0  # characters outside links, of all text that is not dropped hard
     chars: int = 0  # of text that is not dropped, with everything below
     links: int = 0
     bonus: float = 1.0
@@ -75,14 +88,19 @@ def _is_hidden(found: dict[str, str]) -> bool:
 class Page:
     """One pass over the markup: containers with their scores, and blocks below wanted paths."""
 
-    def __init__(self, source: str, wanted: str | None = None):
+    def __init__(self, source: str, wanted: str | None = None, spared: frozenset[int] = frozenset()):
         self.nodes: list[Node] = []
         self.text: list[str] = []  # blocks below the wanted path, in page order
         self.matched = False
         self._wanted = wanted
         self._inside = 0  # open elements of the wanted path
         self._block: list[str] = []
-        root = Node("", "", False, None)
+        self._spared = spared  # elements, by order, that words in their class don't drop
+        self._order = 0
+        self.by_words: list[Node] = []
+        root = self.root = Node("", "", False, None)
+        if wanted == ROOT:
+            self.matched, self._inside = True, 1
         self._stack = [root]
         self._links = 0
         at = 0
@@ -119,9 +137,13 @@ class Page:
 
     def _add(self, raw: str) -> None:
         top = self._stack[-1]
-        if top.dropped:
+        if top.hard:
             return
         words = html.unescape(raw) if "&" in raw else raw
+        if not self._links and not words.isspace():
+            top.prose += len(words)
+        if top.dropped:
+            return
         if self._inside:
             self._block.append(words)
         if self._wanted is None:
@@ -145,13 +167,21 @@ class Page:
         parent = self._stack[-1]
         found = _attributes(attributes) if attributes.strip() else {}
         label = " ".join((found.get("class", ""), found.get("id", ""), found.get("role", "")))
-        words = set(WORD.findall(label.lower()))
-        dropped = parent.dropped or name in DROPPED or bool(words & WORDS_DROPPED) or _is_hidden(found)
+        tokens = [set(WORD.findall(token)) for token in label.lower().split()]
+        words = set().union(*tokens)
+        self._order += 1
+        hard = parent.hard or name in DROPPED or _is_hidden(found)
+        telling: frozenset[str] = frozenset()
         if name in ("html", "body"):
-            dropped = False
+            hard = False
+        elif name not in ("article", "main") and self._order not in self._spared:
+            telling = WORDS_DROPPED & set().union(
+                *[t for t in tokens if not t & MODIFIERS])
+        dropped = hard or bool(telling) or parent.dropped and name not in ("html", "body")
         classes = sorted(DIGITS.sub("#", c) for c in found.get("class", "").lower().split())
         step = ".".join([name, *classes[:CLASSES_IN_PATH]])
-        node = Node(name, f"{parent.path}>{step}" if parent.path else step, dropped, parent)
+        node = Node(name, f"{parent.path}>{step}" if parent.path else step, dropped, parent, hard, telling,
+                    not telling.isdisjoint(label.lower().split()), self._order)
         node.bonus = BONUS.get(name, 1.3 if words & WORDS_MAIN else 1.0)
         self._stack.append(node)
         if name == "a":
@@ -173,6 +203,9 @@ class Page:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.links += node.links
+            node.parent.prose += node.prose
+        if node.words and not node.hard:
+            self.by_words.append(node)
 
     def _end_paragraph(self) -> None:
         """A block ends an open paragraph, and inline tags left open in it."""
@@ -216,30 +249,56 @@ class Page:
     def scores(self) -> list[tuple[str, float]]:
         """The best containers' paths: text kept, less links, in favour of the tightest."""
         best: dict[str, float] = {}
-        whole = max((n.chars for n in self.nodes), default=0)
+        whole = self.root.chars
         if not whole:
             return []
-        for n in self.nodes:
-            prose = n.chars - 2 * n.links
-            if prose > 0:
+        nodes = self.nodes
+        if max((n.chars for n in nodes), default=0) < whole:
+            nodes = [*nodes, self.root]
+        for n in nodes:
+            if n.chars > 0:
                 # of containers that hold the same text the deeper is better
                 depth = n.path.count(">")
-                best[n.path] = best.get(n.path, 0.0) + prose / whole * n.bonus * (1 + 0.01 * depth)
+                prose = n.chars * max((1 - n.links / n.chars) ** 2, 0.001)
+                path = n.path or ROOT
+                best[path] = best.get(path, 0.0) + prose / whole * n.bonus * (1 + 0.01 * depth)
         return sorted(best.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
 
+    def prose_of(self, path: str) -> int:
+        """Characters of kept text outside links below a path."""
+        nodes = [self.root] if path == ROOT else [n for n in self.nodes if n.path == path]
+        return sum(n.chars - n.links for n in nodes)
+
+
+def parsed(source: str) -> tuple[Page, frozenset[int]]:
+    """The page with its scores, and the elements spared because they hold most of its prose."""
+    page = Page(source)
+    spared: frozenset[int] = frozenset()
+    sure = any(n.tag in BONUS and n.chars for n in page.nodes)
+    while more := {n.order for n in page.by_words if not (n.whole and sure) and n.prose > (
+            page.root.prose * (MOST_WHOLE if n.whole else MOST))} - spared:
+        spared |= more
+        page = Page(source, None, spared)
+    return page, spared
+
 
 def main_text(source: str | None, path: str | None) -> tuple[str, str | None]:
-    """The text below the host's path, or below the page's own best container, and the path used."""
+    """The text below the host's path, or below the page's own best container, and the path used.
+
+    The page's own container is taken where the host's path holds much less prose.
+    """
     if not source:
         return "", None
-    if path is not None:
-        page = Page(source, path)
-        if page.matched and page.text:
-            return "\n".join(page.text), path
-    own = Page(source).scores()
-    if not own or own[0][0] == path:
+    page, spared = parsed(source)
+    own = page.scores()
+    if not own:
         return "", None
-    return "\n".join(Page(source, own[0][0]).text), own[0][0]
+    best = own[0][0]
+    if path is not None and page.prose_of(path) >= LEAST_PART * page.prose_of(best):
+        wanted = Page(source, path, spared)
+        if wanted.matched and wanted.text:
+            return "\n".join(wanted.text), path
+    return "\n".join(Page(source, best, spared).text), best
 
 
 def host_of(pages: DataFrame):
@@ -253,7 +312,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, paths, scores = [], [], []
             for host, source in zip(batch.column(0), batch.column(1)):
-                for path, score in Page(source.as_py() or "").scores():
+                for path, score in parsed(source.as_py() or "")[0].scores():
                     hosts.append(host.as_py())
                     paths.append(path)
                     scores.append(score)
@@ -273,8 +332,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, path of every row of ``pages``.
 
-    A NULL or empty page, or one without any container that holds text, gives an
-    empty text.  A NULL url counts as one nameless host.  Repeated rows give a
+    A NULL or empty page, or one without text that is kept, gives an empty text.  A NULL url counts as one nameless host.  Repeated rows give a
     row each; other columns are ignored; an empty table gives no row.
     """
     ship(pages.sparkSession)

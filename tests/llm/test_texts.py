@@ -237,6 +237,38 @@ def test_main_text_of_pages(spark):
         "Big day\nOne bold word & more\nTwo\nlines", "Open one\nNext\nx\ny", "Café € tick", "", ""]
 
 
+ARTICLE = "<h1>Big day</h1><p>One long enough line of words</p><p>And a second line of words</p>"
+LINES = "Big day\nOne long enough line of words\nAnd a second line of words"
+
+
+def text_of(source, path=None):
+    return html_text.main_text(source, path)[0]
+
+
+def test_layout_classes_do_not_drop_the_article():
+    side = "<div class='sidebar'><p>Side words</p></div><div class='site-header'>Head</div>"
+    for tag in ("div class='layout has-sidebar'", "main class='content no-banner'", "div id='page' class='with-header'",
+                "article class='post comments-open'", "div class='search widget'", "article class='related'"):
+        name = tag.split()[0]
+        assert text_of(page(f"<{tag}>{ARTICLE}{side}</{name}>")) == LINES, tag
+    advert = "<div class='ad'>Buy a great deal more of this than you ever thought you would</div>"
+    assert text_of(page(f"{advert}<article><p>Short</p></article>")) == "Short"
+    long = "<div id='comments'>" + "<p>first of all comments here</p>" * 6 + "</div>"
+    assert text_of(page(f"<div class='content'>{ARTICLE}</div>{long}")) == LINES
+
+
+def test_pages_without_containers_with_many_links_and_with_other_templates():
+    assert text_of(ARTICLE) == text_of(f"<html><title>T</title>{ARTICLE}") == LINES
+    assert text_of("no markup at all") == "no markup at all"
+    links = "<p><a href='/x'>" + "a very long link text " * 9 + "</a> few words</p>"
+    assert text_of(page(f"<div class='content'>{links}</div>")).endswith("text few words")
+    teaser = "<div class='content'><p>Read on</p></div>"
+    source = page(f"{teaser}<div class='other'>{ARTICLE * 3}</div>")
+    assert text_of(source, "html>body>div.content").endswith("\n".join([LINES] * 3))
+    source = page(f"<div class='content'>{ARTICLE}</div><p>Stray words</p>")
+    assert text_of(source, "html>body>div.content") == LINES
+
+
 def test_pages_give_their_article(spark):
     """Against the markup of the generated pages: all that stands in <article>."""
     import html
