@@ -3,12 +3,14 @@
 Toxic documents go, one document of each group of near duplicates stays,
 documents that hold benchmark items go, secrets are masked, and what is left is
 encoded.  ``run`` writes each stage's result to the shared folder and reads it
-again.  Rows without doc_id can't be told apart by a decision and pass the
-filters; rows that repeat a doc_id stay or go together.
+again.  Rows without doc_id are judged like all others, each under a number of its
+own; rows that repeat a doc_id stay or go together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,22 +22,46 @@ from salesloom.llm.secrets import mask_secrets
 from salesloom.llm.toxicity import score_toxicity
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``rejected``, with their own columns only."""
-    ids = stored(rejected.select("doc_id").where("doc_id is not null").distinct())
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+KEY = "_row_key"
+
+
+def without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``rejected`` does not name by doc_id, with their own columns only.
+
+    Rows without doc_id are shown to ``rejected`` under numbers no other row has:
+    above all others, so that of equal documents the one with an id stays.
+    """
+    held = docs.agg(F.min("doc_id").cast("long").alias("least"), F.max("doc_id").cast("long").alias("most"),
+                    F.count_if(F.col("doc_id").isNull()).alias("nameless")).first()
+    if not held["nameless"]:
+        ids = stored(rejected(docs).select("doc_id").where("doc_id is not null").distinct())
+        return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    numbered = stored(docs.withColumn(KEY, F.when(
+        F.col("doc_id").isNull(), F.monotonically_increasing_id())))
+    last = numbered.agg(F.max(KEY)).first()[0]
+    least, most = held["least"] or 0, held["most"] or 0
+    if most + 1 + last < 2 ** 63:
+        number = F.lit(most + 1) + F.col(KEY)
+    elif least - 1 - last >= -2 ** 63:
+        number = F.lit(least - 1) - F.col(KEY)
+    else:
+        raise ValueError("doc_id leaves no numbers for the rows that have none")
+    keyed = numbered.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), number))
+    ids = stored(rejected(keyed.withColumn("doc_id", F.col(KEY)).drop(KEY))
+                 .select(F.col("doc_id").alias(KEY)).distinct())
+    return keyed.join(ids, KEY, "left_anti").select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return without(docs, lambda d: score_toxicity(d, table(spark, sf_dir, "labels")).where("predicted = 1"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, near_duplicates(docs).where("not kept"))
+    return without(docs, lambda d: near_duplicates(d).where("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return without(docs, lambda d: contaminated(d, table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

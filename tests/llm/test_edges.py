@@ -139,6 +139,23 @@ def test_pipeline_of_odd_tables(spark, odd, empty):
         docs.count()
 
 
+def test_rows_without_a_number_are_judged(spark):
+    words = [f"word{k}" for k in range(104)]
+    near = words[:20] + ["x"] + words[21:]
+    item = table(spark, SF, "benchmark").where("length(text) > 100").first().text
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(near)), (None, " ".join(words)), (None, "only this one here"),
+         (None, None), (3, "another text of its own"), (None, f"so it is said {item} and no more")],
+        "doc_id long, text string")
+    left = corpus_pipeline.near_duplicate(spark, docs, SF)
+    assert left.dtypes == docs.dtypes
+    assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "3", "None", "None", "None"]
+    left = corpus_pipeline.decontamination(spark, docs, SF).collect()
+    assert len(left) == 6 and not any(item in (r.text or "") for r in left)
+    top = docs.withColumn("doc_id", F.col("doc_id") + (2 ** 63 - 4))  # no room above the greatest
+    assert corpus_pipeline.near_duplicate(spark, top, SF).count() == 5
+
+
 def test_registered():
     numbers = [n.split("_")[0] for n in queries.QUERIES]
     assert numbers == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
