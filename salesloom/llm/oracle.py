@@ -99,4 +99,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM d
 """
 
-QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY}
+# SHA-1 as text, then its bits, then a letter for each five of them.
+ARCHIVES = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+             sha1(html) AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+          lpad(to_base(instr('0123456789abcdef', hex[i]) - 1, 2), 4, '0')), '') AS bits FROM h),
+five AS (SELECT list_transform(range(0, 32), lambda i: lpad(to_base(i, 2), 5, '0')) AS known),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[list_position(known, bits[5 * i + 1:5 * i + 5])]), '')
+          AS payload_digest FROM b, five),
+o AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS original FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM o
+"""
+
+QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY, "op12_warc": ARCHIVES}

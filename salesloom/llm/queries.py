@@ -18,11 +18,13 @@ from salesloom.llm.secrets import op3_secrets
 from salesloom.llm.sharding import op6_sharding
 from salesloom.llm.token_counts import op5_token_counts
 from salesloom.llm.toxicity import op10_toxicity
+from salesloom.llm.warc import op12_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_pii, op3_secrets, op4_quality, op5_token_counts, op6_sharding,
-        op7_decontaminate, op8_html_text, op9_sentencepiece, op10_toxicity)
+        op7_decontaminate, op8_html_text, op9_sentencepiece, op10_toxicity,
+        op12_warc)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = oracle.QUERIES
