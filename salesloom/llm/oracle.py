@@ -117,4 +117,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM o
 """
 
-QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY, "op12_warc": ARCHIVES}
+COLLOCATIONS = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+g AS (SELECT lang, w[i:i + k - 1] AS g
+      FROM w, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i), (SELECT unnest([1, 2, 3]) AS k)
+      WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= 10),
+around AS (SELECT lang, g[i:i + 1] AS g, max(a) AS longer
+           FROM c, (SELECT unnest([1, 2]) AS i) WHERE len(g) = 3 GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN around USING (lang, g)
+         WHERE len(g) = 3 OR 100 * coalesce(longer, 0) < 50 * a),
+cuts AS (SELECT kept.lang, kept.g, a, k, x.f AS l, y.f AS r,
+                CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+         FROM kept JOIN (SELECT unnest([1, 2]) AS k) ON k < len(g)
+              JOIN f x ON x.lang = kept.lang AND x.g = kept.g[1:k]
+              JOIN f y ON y.lang = kept.lang AND y.g = kept.g[k + 1:]),
+best AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM cuts
+         QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+     JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
+QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY, "op12_warc": ARCHIVES,
+           "op13_collocations": COLLOCATIONS}

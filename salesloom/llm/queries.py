@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm import oracle
+from salesloom.llm.collocations import op13_collocations
 from salesloom.llm.decontaminate import op7_decontaminate
 from salesloom.llm.html_text import op8_html_text
 from salesloom.llm.lattice import op9_sentencepiece
@@ -24,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_pii, op3_secrets, op4_quality, op5_token_counts, op6_sharding,
         op7_decontaminate, op8_html_text, op9_sentencepiece, op10_toxicity,
-        op12_warc)
+        op12_warc, op13_collocations)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = oracle.QUERIES
