@@ -145,5 +145,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 WHERE rank <= 2000
 """
 
-QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY, "op12_warc": ARCHIVES,
-           "op13_collocations": COLLOCATIONS}
+_TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+RANKED_SEARCH = f"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id),
+a AS (SELECT count(*) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM d),
+m AS (SELECT doc_id, 100 - 25 + ((25 * n * N_docs) // L) AS m FROM d, a),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * N_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM p, a GROUP BY term, N_docs),
+q AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+QUERIES = {"op1_minhash_dedup": NEAR_DUPLICATES, "op4_quality": QUALITY, "op11_ranked_search": RANKED_SEARCH,
+           "op12_warc": ARCHIVES, "op13_collocations": COLLOCATIONS}
