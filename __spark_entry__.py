@@ -20,6 +20,7 @@ import oracle  # noqa: E402
 from salesloom.context import SESSION_CONF, Ctx, shared_root, size_shuffles  # noqa: E402
 from salesloom.functions import columns as C  # noqa: E402
 from salesloom.functions import table_functions as fn  # noqa: E402
+from salesloom.operators.boosting import relational_scores  # noqa: E402
 from salesloom.operators.contracts import Check, enforce, violation_counts  # noqa: E402
 from salesloom.operators.stats import BAND_NAMES, auc, calibration, lift_at_k, score_bands  # noqa: E402
 from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
@@ -27,9 +28,6 @@ from salesloom.plans import marts, metrics, propensity, quality, queue, silver
 from salesloom.sources import arrival, ingest, testdata  # noqa: E402
 from salesloom.sources.manifest import EXTRACTS  # noqa: E402
 
-# The labelled rows of these tables fit into one task of a boosting job.
-TRAINING_PARTITIONS = 1
-
 _contexts: dict[tuple[str, str], Ctx] = {}
 
 
@@ -103,14 +101,26 @@ def split(ctx: Ctx) -> DataFrame:
         "split", lambda: propensity.stratified_split(ctx["features.train"]))
 
 
-def trained_model(ctx: Ctx):
-    key = "_model"
-    if not hasattr(ctx, key):
-        setattr(ctx, key, propensity.train(
-            split(ctx).where(~F.col("holdout")), iterations=propensity.ITERATIONS,
-            partitions=TRAINING_PARTITIONS,
-        ))
-    return getattr(ctx, key)
+def folded(ctx: Ctx) -> DataFrame:
+    return ctx.store.table("folded", lambda: propensity.stratified_folds(split(ctx)))
+
+
+def trained_models(ctx: Ctx):
+    """The main model and those of the folds, fitted together and once."""
+    if not hasattr(ctx, "_models"):
+        ctx._models = propensity.train_all(folded(ctx), iterations=propensity.ITERATIONS)
+    return ctx._models
+
+
+def node_scores(ctx: Ctx, name, rows: DataFrame) -> DataFrame:
+    """customer_id and the score that a model's node table gives, by joins alone."""
+    return relational_scores(
+        rows.select("customer_id", *features.FEATURES), trained_models(ctx)[name].nodes(ctx.spark),
+        "customer_id", propensity.MAX_DEPTH, "node_score")
+
+
+def same(a: str, b: str) -> Column:
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) < 1e-9, F.lit(False))
 
 
 # --- queries ------------------------------------------------------------------
@@ -235,30 +245,71 @@ def q_gates(ctx: Ctx) -> DataFrame:
     return propensity.model_gates(metrics_row(ctx)).select("check", "observed", "passed")
 
 
-# What trees score differs from engine to engine; these queries return what must not differ.
+# What trees score no static SQL can know; these queries compare the library's scores with
+# those that joins with the node table give, and what is built on them with plain recomputations.
 def q_propensity(ctx: Ctx) -> DataFrame:
-    """Everybody scored by the fitted model: version, and whether score and band are possible."""
-    scored = propensity.propensity_scores(
-        ctx.store, trained_model(ctx), ctx["features.score"], version=1
-    )
-    return scored.select(
-        "customer_id", "version", F.col("score").between(0, 1).alias("is_probability"),
-        F.col("band").isin(*BAND_NAMES).alias("has_band"),
+    """Everybody scored by the fitted model: is the score the node table's, the band that of the quartiles?"""
+    scored = ctx.store.scratch(propensity.propensity_scores(
+        ctx.store, trained_models(ctx)[propensity.MAIN], ctx["features.score"], version=1))
+    quartiles = scored.agg(F.percentile("score", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
+                           F.countDistinct("score").alias("different")).select(F.struct("*")).scalar()
+    place = sum(((F.col("score") > quartiles["q"][k]).cast("int") for k in range(3)), F.lit(0))
+    return scored.join(node_scores(ctx, propensity.MAIN, ctx["features.score"]), "customer_id", "left").select(
+        "customer_id", "version", (F.col("score").between(0, 1) & same("score", "node_score")).alias("is_of_nodes"),
+        (F.col("band") == F.array(*[F.lit(n) for n in BAND_NAMES])[place]).alias("is_band_of_quartiles"),
+        (quartiles["different"] > 1).alias("tells_apart"),
     )
 
 
 def q_oof(ctx: Ctx) -> DataFrame:
-    """Everybody scored by the model that has not seen their fold."""
-    return propensity.oof_scores(
-        ctx.store, ctx["features.train"], iterations=propensity.ITERATIONS,
-        partitions=TRAINING_PARTITIONS,
-    ).select("customer_id", "bought", "fold", F.col("score").between(0, 1).alias("is_probability"))
+    """Everybody scored by the model that has not seen their fold, and by that model's node table."""
+    models = trained_models(ctx)
+    scored = propensity.oof_scores(ctx.store, folded(ctx), models=models)
+    plain = reduce(DataFrame.unionByName, [
+        node_scores(ctx, k, folded(ctx).where(F.col("fold") == k)) for k in range(propensity.FOLDS)])
+    return scored.join(plain, "customer_id", "left").select(
+        "customer_id", "bought", "fold", same("score", "node_score").alias("is_of_nodes"))
+
+
+def q_fitted_metrics(ctx: Ctx) -> DataFrame:
+    """Metrics and gates of the fitted model, each against a plain recomputation on node scores."""
+    models = trained_models(ctx)
+    holdout = ctx.store.scratch(propensity.score(
+        models[propensity.MAIN], folded(ctx).where("holdout")))
+    oof = ctx.store.scratch(propensity.oof_scores(ctx.store, folded(ctx), models=models))
+    row = ctx.store.scratch(propensity.model_metrics(
+        ctx.store, holdout, oof, propensity.baseline_auc(ctx.store, folded(ctx).where("holdout")), 1,
+        F.lit(dt.datetime(2001, 8, 2))))
+    plain = node_scores(ctx, propensity.MAIN, folded(ctx).where("holdout")).join(
+        folded(ctx).select("customer_id", "bought"), "customer_id").select(
+        "bought", F.round("node_score", 12).alias("s"))
+    ranks = plain.groupBy("s").agg(
+        F.sum("bought").alias("pos"), F.count(F.lit(1)).alias("n")).withColumn(
+        "below", F.coalesce(F.sum("n").over(Window.orderBy("s").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)))  # distinct scores of the holdout
+    sums = ranks.agg(F.sum(F.col("pos") * (F.col("below") + (F.col("n") + 1) / 2)).alias("r"),
+                     F.sum("pos").alias("p"), F.sum("n").alias("n"))
+    p, n = F.col("p"), F.col("n")
+    auc_again = sums.select(F.round((F.col("r") - p * (p + 1) / 2) / (p * (n - p)), 4)).scalar()
+    hits = oof.orderBy(F.desc("score"), "customer_id").limit(propensity.TOP_K).agg(
+        F.sum("bought").alias("h"), F.count(F.lit(1)).alias("k"))
+    lift_again = F.round(hits.select(F.col("h") / F.col("k")).scalar() / oof.agg(F.avg("bought")).scalar(), 2)
+    best = F.greatest("baseline_recency", "baseline_value", "baseline_delay")
+    gates = propensity.model_gates(row).groupBy().pivot("check", ["auc_beats_rules", "auc_plausible", "lift_pays"]).agg(
+        F.first("passed"))
+    judged = gates.select(F.struct("*")).scalar()
+    checks = F.array(*[F.struct(F.lit(name).alias("metric"), F.coalesce(held, F.lit(False)).alias("agrees")) for name, held in (
+        ("auc", F.abs(F.col("auc") - auc_again) < 2e-4), ("lift_top_k", F.abs(F.col("lift_top_k") - lift_again) < 0.011),
+        ("auc_beats_rules", judged["auc_beats_rules"] == (F.col("auc") >= best + propensity.MIN_GAIN_OVER_RULES)),
+        ("auc_plausible", judged["auc_plausible"] == (F.col("auc") < propensity.MAX_PLAUSIBLE_AUC)),
+        ("lift_pays", judged["lift_pays"] == (F.col("lift_top_k") >= propensity.MIN_LIFT)))])
+    return row.select(F.inline(checks))
 
 
 def q_importance(ctx: Ctx) -> DataFrame:
     """The ten features whose shuffling costs most: their places, and whether they fall."""
     top = propensity.permutation_importance(
-        ctx.store, trained_model(ctx), split(ctx).where("holdout")
+        ctx.store, trained_models(ctx)[propensity.MAIN], split(ctx).where("holdout")
     )
     order = Window.orderBy(F.desc("importance_mean"), "feature")  # ten rows
     return top.select(
@@ -577,6 +628,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "model_gates": q_gates,
     "propensity_scores": q_propensity,
     "oof_scores": q_oof,
+    "fitted_metrics": q_fitted_metrics,
     "perm_importance": q_importance,
     # queue and table functions
     "queue_topn": q_queue,

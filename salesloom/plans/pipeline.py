@@ -135,12 +135,13 @@ def model(ctx: Ctx, db: str, root: str, iterations: int, k: int = propensity.TOP
     write_table(features.training_set(ctx), f"{db}.features_training")
     write_table(features.scoring_set(ctx), f"{db}.features_customer")
     training = ctx.store.scratch(
-        propensity.stratified_split(spark.table(f"{db}.features_training"))
+        propensity.stratified_folds(propensity.stratified_split(spark.table(f"{db}.features_training")))
     )
-    fitted = propensity.train(training.where(~F.col("holdout")), iterations=iterations)
+    models = propensity.train_all(training, iterations=iterations)
+    fitted = models[propensity.MAIN]
     holdout = training.where(F.col("holdout"))
     scored = ctx.store.scratch(propensity.score(fitted, holdout))
-    oof = ctx.store.scratch(propensity.oof_scores(ctx.store, training, iterations=iterations))
+    oof = ctx.store.scratch(propensity.oof_scores(ctx.store, training, models=models))
     ranked = propensity.permutation_importance(ctx.store, fitted, holdout, top=1).first()
     registry_name = f"{db}.model_registry"
     known = spark.table(registry_name) if spark.catalog.tableExists(registry_name) else None

@@ -1,24 +1,20 @@
-"""Purchase-propensity model on Spark ML, its rules, metrics and gates.
+"""Purchase-propensity model, its rules, metrics and gates.
 
 The training rows never leave the executors: the split is a seeded hash order,
-AUC and bands come from running counts, and the trees are Spark's.
+AUC and bands come from running counts, and trees grow on sums of gradients
+(``operators.boosting``).  The main model and those of the folds are fitted together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Hashable, Mapping, Sequence
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.context import Store
+from salesloom.operators.boosting import Boosted, fit, score_by
 from salesloom.operators.contracts import judge
 from salesloom.operators.prefix import hash_rank
 from salesloom.operators.stats import auc, calibration, lift_at_k, score_bands
@@ -37,11 +33,8 @@ MIN_GAIN_OVER_RULES = 0.05
 MAX_PLAUSIBLE_AUC = 0.99
 MIN_LIFT = 2.5
 
-# features that are NULL for customers with a single order day
-NULLABLE = ("avg_ticket", "margin_share", "mean_gap_days", "gap_stddev_days", "relative_delay",
-            "top_brand_share")
-SENTINEL = -1.0
-MAX_BINS = 255  # split candidates of a feature
+MAX_LEAVES = 31
+MAIN = "main"
 
 
 def stratified_split(
@@ -92,81 +85,61 @@ def baseline_auc(store: Store, holdout: DataFrame, label: str = "bought", **how)
     return rules.unionByName(coin)
 
 
-def prepare(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Spark's trees take no NaN: a sentinel plus a 0/1 marker that tells it from a true value.
+def fitted(
+    df: DataFrame, conditions: Mapping[Hashable, Column], features: Sequence[str] = FEATURES,
+    label: str = "bought", iterations: int = ITERATIONS,
+) -> dict[Hashable, Boosted]:
+    """A model for each condition on the rows, all in the same passes; NULL features stay missing."""
+    return fit(df, features, label, conditions, iterations, STEP_SIZE, MAX_DEPTH, MIN_ROWS_PER_LEAF, MAX_LEAVES)
 
-    The same expressions serve training, hold-out and scoring.
-    """
-    filled = {f: F.coalesce(F.col(f), F.lit(SENTINEL)) for f in features if f in NULLABLE}
-    markers = [F.col(f).isNull().cast("double").alias(f"{f}_missing")
-               for f in features if f in NULLABLE]
-    keep = [filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]
-    return df.select(*keep, *markers)
 
+def train(
+    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought", iterations: int = ITERATIONS,
+) -> Boosted:
+    """Gradient-boosted trees on all rows of ``df``, which should be stored."""
+    return fitted(df, {MAIN: F.lit(True)}, features, label, iterations)[MAIN]
 
-def model_inputs(features: Sequence[str] = FEATURES) -> list[str]:
-    return [*features, *[f"{f}_missing" for f in features if f in NULLABLE]]
 
+def fold_conditions(folds: int = FOLDS) -> dict[Hashable, Column]:
+    """The model of a fold sees the rows of the others."""
+    return {k: F.col("fold") != k for k in range(folds)}
 
-def train(
-    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
-    iterations: int = ITERATIONS, seed: int = SEED, partitions: int | None = None,
-) -> PipelineModel:
-    """Gradient-boosted trees; ``df`` holds raw features, NULLs included.
-
-    Boosting runs a job per tree level over all partitions of ``df``.  For a
-    small training set whoever calls may ask for few ``partitions``, so that
-    those jobs are not all overhead; the split candidates depend on them a little.
-    """
-    trees = GBTClassifier(
-        featuresCol="features", labelCol=label, maxIter=iterations, stepSize=STEP_SIZE,
-        maxDepth=MAX_DEPTH, minInstancesPerNode=MIN_ROWS_PER_LEAF, maxBins=MAX_BINS, seed=seed,
-        # checkpoints cut the lineage of boosting where the context names a folder
-        checkpointInterval=10,
-    )
-    assembler = VectorAssembler(inputCols=model_inputs(features), outputCol="features")
-    ready = prepare(df, features)
-    return Pipeline(stages=[assembler, trees]).fit(
-        ready if partitions is None else ready.coalesce(partitions))
+
+def train_all(
+    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought", folds: int = FOLDS,
+    iterations: int = ITERATIONS,
+) -> dict[Hashable, Boosted]:
+    """The main model (without ``holdout``) and one for each ``fold`` of ``df``, in one go."""
+    return fitted(df, {MAIN: ~F.col("holdout"), **fold_conditions(folds)}, features, label, iterations)
 
 
 def score(
-    model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES, out: str = "score"
+    model: Boosted, df: DataFrame, features: Sequence[str] = FEATURES, out: str = "score"
 ) -> DataFrame:
     """``df`` with the probability of a purchase."""
-    scored = model.transform(prepare(df, features))
     keep = [c for c in df.columns if c not in features]
-    return scored.select(*keep, vector_to_array("probability")[1].alias(out))
+    return df.select(*keep, model.score([F.col(f) for f in features]).alias(out))
 
 
 def oof_scores(
     store: Store, df: DataFrame, features: Sequence[str] = FEATURES, label: str = "bought",
     folds: int = FOLDS, iterations: int = ITERATIONS, seed: int = SEED, key: str = "customer_id",
-    partitions: int | None = None,
+    models: Mapping[Hashable, Boosted] | None = None,
 ) -> DataFrame:
     """Each row scored by a model that has not seen its fold.
 
-    The folds are written once; their models are fitted side by side, as
-    Spark's own cross validation does it.
+    ``models`` by fold, if they are fitted already; ``df`` has its ``fold`` then.
     """
-    parted = store.scratch(stratified_folds(df, label, folds, seed, key))
-
-    @inheritable_thread_target(store.spark)
-    def fit(fold: int) -> DataFrame:
-        model = train(
-            parted.where(F.col("fold") != fold), features, label, iterations, seed, partitions)
-        return score(model, parted.where(F.col("fold") == fold), features)
-
-    pool = ThreadPool(folds)
-    try:
-        parts = pool.map(fit, range(folds))
-    finally:
-        pool.close()
-    return reduce(DataFrame.unionByName, parts)
+    if models is None:
+        df = store.scratch(stratified_folds(df, label, folds, seed, key))
+        models = fitted(df, fold_conditions(folds), features, label, iterations)
+    keep = [c for c in df.columns if c not in features]
+    by_fold = [models[k] for k in range(folds)]
+    return df.select(*keep, score_by(by_fold, F.col("fold"), [F.col(f) for f in features]).alias("score"))
 
 
 def permutation_importance(
-    store: Store, model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES,
+    store: Store, model: Boosted, df: DataFrame, features: Sequence[str] = FEATURES,
     label: str = "bought", repeats: int = 5, seed: int = SEED, key: str = "customer_id",
     top: int | None = 10, **how,
 ) -> DataFrame:
@@ -176,12 +149,8 @@ def permutation_importance(
     feature in turn takes the partner's value.  All features and repeats are
     scored as one table and their AUCs come from one grouped pass.
     """
-    inputs = model_inputs(features)
-    rows = prepare(df, features).select(key, label, F.array(*inputs).alias("own"))
-    groups = [
-        [i for i, name in enumerate(inputs) if name in (f, f"{f}_missing")] for f in features
-    ]
-    taken = F.array(*[F.array(*[F.lit(i) for i in g]) for g in groups])
+    rows = df.select(key, label, F.array(*[F.col(f).cast("double") for f in features]).alias("own"))
+    taken = F.array(*[F.lit(i) for i in range(len(features))])
     variants = []
     for r in range(repeats):
         left = hash_rank(rows, key, seed + 2 * r, out="_place").drop("_place_size")
@@ -194,17 +163,16 @@ def permutation_importance(
         ))
     mixed = reduce(DataFrame.unionByName, variants).withColumn(
         "values", F.expr(
-            "transform(own, (x, i) -> CASE WHEN array_contains(swap, i) THEN other[i] ELSE x END)"
+            "transform(own, (x, i) -> CASE WHEN i = swap THEN other[i] ELSE x END)"
         )
     )
     untouched = rows.select(
         F.lit(-1).alias("repeat"), label, F.lit(-1).alias("feature_no"), F.col("own").alias("values")
     )
     table = untouched.unionByName(mixed.select("repeat", label, "feature_no", "values"))
-    trees = model.stages[-1]
-    scored = trees.transform(
-        table.select("repeat", label, "feature_no", array_to_vector("values").alias("features"))
-    ).select("repeat", label, "feature_no", vector_to_array("probability")[1].alias("score"))
+    scored = table.select(
+        "repeat", label, "feature_no",
+        model.score([F.col("values")[i] for i in range(len(features))]).alias("score"))
     aucs = auc(store, scored, "score", label, ["feature_no", "repeat"], **how)
     base = aucs.where(F.col("repeat") == -1).select("auc").scalar()
     names = F.array(*[F.lit(f) for f in features])
@@ -218,7 +186,7 @@ def permutation_importance(
 
 
 def propensity_scores(
-    store: Store, model: PipelineModel, scoring: DataFrame, version: int,
+    store: Store, model: Boosted, scoring: DataFrame, version: int,
     features: Sequence[str] = FEATURES, **how,
 ) -> DataFrame:
     """Score and band per customer, with the cut date and the model version."""
@@ -285,7 +253,7 @@ REGISTRY_COLUMNS = "name string, version bigint, path string, promoted boolean"
 
 
 def save_version(
-    spark, model: PipelineModel, root: str, name: str, registry: DataFrame | None = None,
+    spark, model: Boosted, root: str, name: str, registry: DataFrame | None = None,
     promote: bool = True,
 ) -> DataFrame:
     """Save the next version under ``root`` and return the registry with its row.
@@ -298,14 +266,14 @@ def save_version(
     last = registry.where(mine).agg(F.max("version").alias("v")).first()["v"]
     version = (last or 0) + 1
     path = f"{root}/{name}/v{version}"
-    model.write().overwrite().save(path)
+    model.save(spark, path)
     row = spark.createDataFrame([(name, version, path, promote)], REGISTRY_COLUMNS)
     if promote:
         registry = registry.withColumn("promoted", F.col("promoted") & ~mine)
     return registry.unionByName(row)
 
 
-def load_promoted(registry: DataFrame, name: str) -> tuple[PipelineModel, int]:
+def load_promoted(registry: DataFrame, name: str) -> tuple[Boosted, int]:
     """The promoted version of a model and its number."""
     row = (
         registry.where((F.col("name") == name) & F.col("promoted"))
@@ -313,4 +281,4 @@ def load_promoted(registry: DataFrame, name: str) -> tuple[PipelineModel, int]:
     )
     if row is None:
         raise LookupError(f"no promoted version of {name}")
-    return PipelineModel.load(row["path"]), row["version"]
+    return Boosted.load(registry.sparkSession, row["path"]), row["version"]

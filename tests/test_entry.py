@@ -15,7 +15,7 @@ def con():
 
 
 # those that fit a model: here over a few rounds, registered over all of them
-MODELS = {"propensity_scores", "oof_scores", "perm_importance"}
+MODELS = {"propensity_scores", "oof_scores", "perm_importance", "fitted_metrics"}
 
 
 def test_every_query_has_sql():
