@@ -31,13 +31,14 @@ LEAST_COUNT = 10
 CONTAINED_PERCENT = 50  # a phrase goes if a longer one has this share of its occurrences
 PER_LANGUAGE = 2000
 NO_LANGUAGE = "und"
-WORDS_PER_BLOCK = 1 << 18  # words that extend a shard's transducer at a time
+WORDS_PER_BLOCK = 1 << 19  # words that extend a shard's transducer at a time
 PATHS_PER_SHARD = 1 << 20  # a larger transducer is given out, and its task begins another
 PATHS_PER_KEY = 1 << 12
 PATHS_PER_RANGE = 1 << 20
 
-# What ends a piece becomes a line feed, a tab a space, A-Z lower case.
-_PLAIN = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
+# What ends a piece becomes a full stop, a tab a space, A-Z lower case.
+_STOP = b"."
+_PLAIN = bytes(_STOP[0] if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
                for c in range(256))
 
 MAPPED = "part long, kind int, source long, blob binary"
@@ -45,31 +46,32 @@ COUNTS, ASKED, ANSWER, AROUND = range(4)
 
 
 class Block:
-    """The words of some texts."""
+    """The words of some texts, with a stop (number 0) after every piece."""
 
     def __init__(self) -> None:
         self.langs: dict[bytes, int] = {}
-        self.ids: dict[bytes, int] = _Numbers()
+        self.ids: dict[bytes, int] = _Numbers({_STOP: 0})
         self.words: list[int] = []
-        self.sizes: list[int] = []  # of the pieces
+        self.sizes: list[int] = []  # of the texts
         self.of: list[int] = []  # their languages
 
     def add(self, lang: str | None, text: str | None) -> None:
         name = (NO_LANGUAGE if lang is None else lang).encode()
-        number = self.langs.setdefault(name, len(self.langs))
-        find = self.ids.__getitem__
-        for piece in (text or "").encode().translate(_PLAIN).split(b"\n"):
-            words = piece.split()
-            if words:
-                self.words.extend(map(find, words))
-                self.sizes.append(len(words))
-                self.of.append(number)
+        before = len(self.words)
+        plain = (text or "").encode().translate(_PLAIN).replace(_STOP, b" . ")
+        self.words.extend(map(self.ids.__getitem__, plain.split()))
+        if len(self.words) > before:
+            self.words.append(0)
+            self.of.append(self.langs.setdefault(name, len(self.langs)))
+            self.sizes.append(len(self.words) - before)
 
     def paths(self) -> fsa.Paths:
-        sizes = np.array(self.sizes, np.int64)
-        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(self.words))
-        return fsa.counted(list(self.langs), list(self.ids), np.repeat(np.array(self.of, np.int64), sizes),
-                           np.array(self.words, np.int64), left)
+        held = np.array(self.words, np.int64)
+        lang = np.repeat(np.array(self.of, np.int64), np.array(self.sizes, np.int64))
+        stops = np.flatnonzero(held == 0)
+        left = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(len(held))
+        words = held > 0
+        return fsa.counted(list(self.langs), list(self.ids)[1:], lang[words], held[words] - 1, left[words])
 
 
 class _Numbers(dict):

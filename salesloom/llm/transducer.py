@@ -39,7 +39,7 @@ class Paths:
 
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of the keys, where a new one starts in that order, and the group of each key."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     new = np.ones(len(keys), bool)
     np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
@@ -350,7 +350,7 @@ def packed(paths: Paths) -> bytes:
         states = group
     root = (_small(lang_place[paths.levels[0][1]]), _small(states))
     blob = pickle.dumps((langs, b"\n".join(words), len(words), out[::-1], root), protocol=5)
-    return zstandard.ZstdCompressor(level=3).compress(blob)
+    return zstandard.ZstdCompressor(level=1).compress(blob)
 
 
 def unpacked(blob: bytes) -> Paths:
