@@ -64,8 +64,12 @@ def rule_score() -> Column:
 
 
 def rule_scores(ctx: Ctx) -> DataFrame:
-    scored = ctx["features.score"].select("customer_id", rule_score().alias("score"), "recency_days")
-    return score_bands(ctx.store, scored, "score")
+    """Written once, as the batch writes the model's scores and bands."""
+    def build() -> DataFrame:
+        scored = ctx["features.score"].select("customer_id", rule_score().alias("score"), "recency_days")
+        return score_bands(ctx.store, scored, "score")
+
+    return ctx.store.table("rule_scores", build)
 
 
 def the_queue(ctx: Ctx) -> DataFrame:

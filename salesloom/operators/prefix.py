@@ -2,25 +2,21 @@
 
 A window without a partition key sorts everything in one task.  Here the rows
 are first grouped to one row per distinct value (ties then share a total, as
-RANGE frames do).  Quantile edges cut the value axis into buckets, each bucket
-is summed on its own, and the totals of the buckets before it are added as an
-offset.  The number of buckets follows the number of distinct values.
+RANGE frames do) and dealt by ranges of the value.  Each range is summed on its own,
+and the totals of the ranges before it are added as an offset.  Ranges are those of
+one range shuffle, so there are as many as the session's shuffles have partitions,
+and AQE merges what is small.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.context import Store
 
-BUCKET_ROWS = 100_000  # distinct values a window task sorts
-LEAST_BUCKETS = 4
-
 
 def prefix_sum(
     store: Store,
@@ -29,67 +25,46 @@ def prefix_sum(
     values: Mapping[str, Column],
     by: Sequence[str] = (),
     descending: bool = True,
-    bucket_rows: int = BUCKET_ROWS,
     buckets: int | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """One row per (by, order value) with ``<name>`` and ``<name>_running``.
 
     ``values`` maps a name to the aggregate to accumulate, e.g.
-    ``{"revenue": F.sum("revenue")}``.
+    ``{"revenue": F.sum("revenue")}``; with ``totals`` there is ``<name>_total`` of
+    the group as well.  ``buckets`` sets the number of ranges.  NULL comes first in
+    ascending order and last in descending.
     """
-    grouped = store.scratch(
-        df.groupBy(*by, order).agg(*[v.alias(name) for name, v in values.items()])
-    )
     direction = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
-    # the rows are stored, so the count is read from the files' footers
-    bucketed = _bucketed(
-        grouped, order, buckets or max(LEAST_BUCKETS, math.ceil(grouped.count() / bucket_rows)))
-    before = Window.partitionBy(*by).orderBy(
-        F.col("_bucket").desc() if descending else F.col("_bucket")
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (by, bucket): bounded by the number of buckets
-    offsets = (
-        bucketed.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(f"_{n}") for n in values])
-        .select(
-            *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_bucket").alias("_at"),
-            *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_before")
-              for n in values],
-        )
+    grouped = df.groupBy(*by, order).agg(*[v.alias(name) for name, v in values.items()])
+    keys = [*[F.col(c) for c in by], direction]
+    ranged = grouped.repartitionByRange(*([buckets] if buckets else []), *keys)
+    # a range keeps its number by being written: every reader sees the same cuts
+    held = store.scratch(ranged.withColumn("_range", F.spark_partition_id()))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per (by, range)
+    offsets = held.groupBy(*by, "_range").agg(*[F.sum(n).alias(f"_{n}") for n in values]).select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_at"),
+        *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_before") for n in values],
+        *[F.sum(f"_{n}").over(group).alias(f"{n}_total") for n in values if totals],
     )
-    within = Window.partitionBy(*by, "_bucket").orderBy(direction)
-    match = F.col("_bucket") == F.col("_at")
+    within = Window.partitionBy(*by, "_range").orderBy(direction)
+    match = F.col("_range") == F.col("_at")
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     return (
-        bucketed.select("*", *[F.sum(n).over(within).alias(f"_{n}_within") for n in values])
+        held.select("*", *[F.sum(n).over(within).alias(f"_{n}_within") for n in values])
         .join(offsets, match)
         .select(
             *by, order, *values,
             *[(F.col(f"_{n}_within") + F.col(f"_{n}_before")).alias(f"{n}_running")
               for n in values],
+            *[f"{n}_total" for n in values if totals],
         )
     )
 
 
-def _bucketed(grouped: DataFrame, order: str, buckets: int) -> DataFrame:
-    """Add ``_bucket``, non-decreasing in the order value.
-
-    The edges are a bounded list of numbers and become literals of the plan, so
-    every branch and every retry cuts at the same places.
-    """
-    axis = grouped.withColumn("_axis", F.col(order).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(axis.approxQuantile("_axis", probs, 1 / (4 * buckets))))
-    splits = [float("-inf"), *edges, float("inf")]
-    return (
-        Bucketizer(splits=splits, inputCol="_axis", outputCol="_b", handleInvalid="keep")
-        .transform(axis)
-        # NULL values sort before everything else
-        .withColumn("_bucket", F.coalesce(F.col("_b"), F.lit(-1.0)).cast("int"))
-        .drop("_axis", "_b")
-    )
-
-
 def abc_classes(
     store: Store, df: DataFrame, key: str, measure: Column,
     cuts: Sequence[float] = (0.80, 0.95), labels: Sequence[str] = ("A", "B", "C"), **how,
@@ -102,9 +77,8 @@ def abc_classes(
     """
     # stored, as both readers must see the same sums
     totals = store.scratch(df.groupBy(key).agg(measure.alias("total")))
-    running = prefix_sum(store, totals, "total", {"part": F.sum("total")}, **how)
-    grand = totals.agg(F.sum("total").cast("double")).scalar()
-    share = F.col("part_running").cast("double") / F.nullif(grand, F.lit(0.0))
+    running = prefix_sum(store, totals, "total", {"part": F.sum("total")}, totals=True, **how)
+    share = F.col("part_running").cast("double") / F.nullif(F.col("part_total").cast("double"), F.lit(0.0))
     chain = F.when(share <= cuts[0], labels[0])
     for cut, label in zip(cuts[1:], labels[1:]):
         chain = chain.when(share <= cut, label)
@@ -144,18 +118,17 @@ def quantile_edges(
     """
     runs = prefix_sum(
         store, df.where(F.col(col).isNotNull()), col, {"n": F.count(F.lit(1))},
-        descending=False, **how,
+        descending=False, totals=True, **how,
     )
-    runs = runs.withColumn("_total", runs.agg(F.sum("n")).scalar())
 
     def position(p: float) -> Column:
-        return (F.col("_total") - 1) * F.lit(float(p))
+        return (F.col("n_total") - 1) * F.lit(float(p))
 
     def value_at(index: Column) -> Column:
         return F.min(F.when(F.col("n_running") > index, F.col(col).cast("double")))
 
     picked = runs.agg(
-        F.max("_total").alias("_total"),
+        F.max("n_total").alias("n_total"),
         *[value_at(F.floor(position(p))).alias(f"_lo{i}") for i, p in enumerate(probs)],
         *[value_at(F.ceil(position(p))).alias(f"_hi{i}") for i, p in enumerate(probs)],
     )
