@@ -33,7 +33,7 @@ ANSWER_SHARE = 0.5
 ORDERED_SHARE = 0.7  # of all words of an item, if they are held in order
 ORDERED_PART = 0.5  # of its answer, then, and of its question, if that lacks more than a word
 RUN = 5  # words of a run that question and answer must share with the text
-LEAST_WORDS = 5  # shorter items can't be told from ordinary prose and are never reported
+LEAST_WORDS = 5  # shorter items share too little to be scored: the text has to hold them word for word
 POSTINGS_PER_BLOCK = 2_000_000
 ITEMS_PER_STEP = 16  # items that share one upper bound in a posting list
 K1, B = 1.2, 0.75
@@ -105,6 +105,12 @@ class Index:
     def __init__(self, items: Sequence[tuple[int, str]], weights: Sequence[tuple[int, bytes, float]],
                  threshold: float):
         self.threshold = threshold
+        # a short item stands in a text as a whole or not at all: by its first word
+        self.short: dict[bytes, list[tuple[list[bytes], int]]] = {}
+        for number, text in items:
+            if 0 < len(terms := terms_of(text)) < LEAST_WORDS:
+                self.short.setdefault(terms[0], []).append((terms, number))
+        items = [(i, t) for i, t in items if len(terms_of(t)) >= LEAST_WORDS]
         self.items = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         self.bits = [positions(question + answer) for question, answer in self.parts]
@@ -221,9 +227,18 @@ class Index:
             if not cursors:
                 return found
 
+    def short_items(self, words: Sequence[bytes]) -> list[tuple[int, float, float, float]]:
+        """The items of fewer than ``LEAST_WORDS`` words that stand in a text."""
+        found = {number for k, w in enumerate(words) if w in self.short
+                 for terms, number in self.short[w] if words[k:k + len(terms)] == terms}
+        return [(number, 1.0, 1.0, 1.0) for number in sorted(found)]
+
     def held_items(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """(item, score, share of question, share of answer) of every item a text holds."""
         words = terms_of(text)
+        out = self.short_items(words) if self.short else []
+        if not self.items:
+            return out
         get = self.terms.get
         outside = len(self.count) - 1
         ids = np.fromiter((get(w, outside) for w in words), np.int64, len(words))
@@ -240,9 +255,8 @@ class Index:
                     whole = (question * shares[0] + answer * shares[1]) / (question + answer)
                     ordered[item] = max(ordered.get(item, (0.0, 0.0, 0.0)), (whole, *shares))
         if not best:
-            return []
+            return out
         line = b" %s " % b" ".join(words)
-        out = []
         for item, score in sorted(best.items()):
             question, answer = (share_of_runs(p, line) for p in self.parts[item])
             whole, *shares = ordered[item]
@@ -286,18 +300,20 @@ def item_weights(items: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, question_share, answer_share): documents that hold items.
 
-    NULL and empty texts hold nothing, nor do NULL, empty or very short items;
-    rows of the benchmark without item_id are left out, repeated ones count once
-    (the first text by order).  Rows that repeat a doc_id give one row per item
-    with the best score.  Other columns are ignored; empty tables give no row.
+    NULL and empty texts hold nothing, nor do NULL items and those without a word;
+    items of fewer than ``LEAST_WORDS`` words count where a text holds all their words in a row.
+    Rows of the benchmark without item_id are left out.  An item_id with several texts is
+    found by any of them and reported once, with the best score, as are rows that
+    repeat a doc_id.  Other columns are ignored; empty tables give no row.
     """
     spark = docs.sparkSession
     ship(spark)
-    items = stored(benchmark.select(
-        column(benchmark, "item_id", "long").alias("item_id"),
+    # texts are indexed under numbers of their own
+    items = stored(stored(benchmark.select(
+        column(benchmark, "item_id", "long").alias("of_item"),
         column(benchmark, "text", "string").alias("text"),
-    ).where("item_id is not null and text is not null").groupBy("item_id").agg(
-        F.min("text").alias("text")))
+    ).where("of_item is not null and text is not null").distinct()).withColumn(
+        "item_id", F.monotonically_increasing_id()))
     weights = stored(item_weights(items))
     blocks = max(1, math.ceil(weights.count() / POSTINGS_PER_BLOCK))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
@@ -307,8 +323,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     for k in range(blocks):
         held = weights.where(block == k)
         index = Index(
-            [tuple(r) for r in items.where(block == k).join(
-                held.select("item_id").distinct(), "item_id", "left_semi").orderBy("item_id").collect()],
+            [tuple(r) for r in items.where(block == k).select("item_id", "text").orderBy("item_id").collect()],
             [(r[0], bytes(r[1]), r[2]) for r in held.orderBy("term", "item_id").collect()], threshold)
         shared = spark.sparkContext.broadcast(index)
 
@@ -328,7 +343,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         part = texts.mapInArrow(run, "doc_id long, item_id long, score double, "
                                      "question_share double, answer_share double")
         found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(
+    return found.join(items.select("item_id", "of_item"), "item_id").select(
+        "doc_id", F.col("of_item").alias("item_id"), "score", "question_share", "answer_share"
+    ).groupBy("doc_id", "item_id").agg(
         *[F.max(c).alias(c) for c in ("score", "question_share", "answer_share")])
 
 

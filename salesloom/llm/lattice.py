@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import column, ship, stored, table
-from salesloom.llm.pieces import MODEL, PRE_TOKEN, Pieces, load
+from salesloom.llm.pieces import MODEL, PRE_TOKEN, REMEMBERED_LENGTH, Pieces, load
 
 DICTIONARY = 200_000
 REMEMBERED = 100_000  # rare pre-tokens a task keeps; only for speed
@@ -129,10 +129,15 @@ def best_path(word: str, pieces: Pieces) -> list[int]:
 
 
 def common_words(docs: DataFrame, most: int) -> DataFrame:
-    """The distinct pre-tokens with the highest counts: at most ``most`` of them, ties left out."""
+    """The distinct pre-tokens with the highest counts: at most ``most`` of them, ties left out.
+
+    Those beyond ``REMEMBERED_LENGTH`` characters are never among them, which bounds the
+    lattice of a word and what tasks receive; they are encoded whole where they stand.
+    """
     text = F.coalesce(column(docs, "text", "string"), F.lit(""))
     counts = stored(docs.select(F.explode(F.regexp_extract_all(
-        text, F.lit(PRE_TOKEN), F.lit(0))).alias("word")).groupBy("word").agg(
+        text, F.lit(PRE_TOKEN), F.lit(0))).alias("word")).where(
+        F.length("word") <= REMEMBERED_LENGTH).groupBy("word").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1"))
     # from counts of counts: the least count at which the dictionary still fits
     levels = counts.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).agg(
@@ -150,7 +155,7 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
     """doc_id, text, ids of every row of ``docs``.
 
     NULL texts have NULL ids, empty ones an empty array.  Texts are taken as they
-    are, so that decoding gives them back byte for byte.  Repeated rows are
+    are, words whole, so that decoding gives them back byte for byte.  Repeated rows are
     encoded each; other columns are ignored; an empty table gives no row.
     """
     pieces = load(model)
@@ -164,7 +169,7 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, common = shared.value
-        known = WordIds(own, common)
+        find, rare = common.get, WordIds(own)
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
@@ -172,10 +177,10 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
                 for text in batch.column(1).to_pylist():
                     missing.append(text is None)
                     if text:
-                        ids = b"".join(map(known.__getitem__, split.findall(text)))
+                        ids = b"".join([find(w) or rare[w] for w in split.findall(text)])
                         parts.append(ids)
                         total += len(ids) // 4
-                        known.trim()
+                        rare.trim()
                     ends.append(total)
                 lists = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)),
@@ -189,23 +194,20 @@ def encode(docs: DataFrame, model: str = MODEL, dictionary: int = DICTIONARY) ->
 
 
 class WordIds(dict):
-    """Ids of pre-tokens as bytes: the common ones, and rare ones as they turn up."""
+    """Ids of rare pre-tokens as bytes, as they turn up; long ones are not kept."""
 
-    def __init__(self, pieces: Pieces, common: dict[str, bytes]):
-        super().__init__(common)
+    def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.rare: list[str] = []
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = np.array(best_path(word, self.pieces), np.int32).tobytes()
-        self.rare.append(word)
+        ids = np.array(best_path(word, self.pieces), np.int32).tobytes()
+        if len(word) <= REMEMBERED_LENGTH:
+            self[word] = ids
         return ids
 
     def trim(self) -> None:
-        if len(self.rare) > REMEMBERED:
-            for word in self.rare:
-                del self[word]
-            self.rare.clear()
+        if len(self) > REMEMBERED:
+            self.clear()
 
 
 class Strings:

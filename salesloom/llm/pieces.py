@@ -9,13 +9,13 @@ from salesloom.llm.common import TOKENIZERS
 
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 # A pre-token is a word with the space before it, or one white-space character.
-# Longer words are cut, so that a lattice is bounded; joined, they are the text.
-PRE_TOKEN = r"\x20?[^\x20\x09-\x0D]{1,63}|[\x20\x09-\x0D]"
-LONGEST = 64
+# Words are taken whole, however long; joined, pre-tokens are the text.
+PRE_TOKEN = r"\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]"
+REMEMBERED_LENGTH = 64  # longer pre-tokens are worked out where they stand, and not kept
 MOST_PIECES = 200_000  # a table of more is refused, as it is sent to every task
 # Weights are whole numbers: thousandths of a nat, times COUNT, plus one for each
 # token, so that one comparison takes the likelier and then the shorter path.
-COUNT = 1024
+COUNT = 1 << 32  # no text has as many tokens
 BYTE_COST = 14_000
 
 

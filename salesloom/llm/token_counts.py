@@ -3,7 +3,8 @@
 In sorted order the distinct pre-tokens of a batch are the leaves of their trie,
 left to right.  The walk holds the forward scores of the current path only: a
 pre-token keeps the scores of the prefix it shares with the one before it and
-adds those of its own nodes; the score at its end holds its number of tokens.
+adds those of its own nodes; the score at its end holds its number of tokens.  A node
+looks back by the longest piece, so a word of any length takes time in proportion.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm.common import column, ship, table
-from salesloom.llm.pieces import COUNT, MODEL, PRE_TOKEN, Pieces, load
+from salesloom.llm.pieces import COUNT, MODEL, PRE_TOKEN, REMEMBERED_LENGTH, Pieces, load
 
 REMEMBERED = 300_000  # pre-tokens whose counts a task keeps between batches; only for speed
 
@@ -51,8 +52,9 @@ def terminal_counts(words: Iterable[str], pieces: Pieces) -> dict[str, int]:
 def count_tokens(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_pre_tokens, n_tokens of every row's whole text.
 
-    NULL and empty texts have none.  Repeated rows are counted each; other
-    columns are ignored; an empty table gives no row.  No shuffle.
+    NULL and empty texts have none; words are counted whole, whatever their length.
+    Repeated rows are counted each; other columns are ignored; an empty table gives
+    no row.  No shuffle.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
@@ -75,6 +77,8 @@ def count_tokens(docs: DataFrame, model: str = MODEL) -> DataFrame:
                     sizes.append(len(words))
                     totals.append(sum(map(known.__getitem__, words)))
                 some.clear()
+                for word in [w for w in new if len(w) > REMEMBERED_LENGTH]:
+                    del known[word]
 
             for text in batch.column(1):
                 some.append(split.findall(text.as_py() or ""))

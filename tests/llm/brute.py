@@ -128,6 +128,23 @@ def best_weight(word: str, pieces) -> int:
     return min(found)
 
 
+def best_weight_forward(word: str, pieces) -> tuple[int, int]:
+    """Least (weight, pieces) from left to right over all starts, weight and count apart."""
+    scale = 1 << 32
+    best = [(0, 0)]
+    for end in range(1, len(word) + 1):
+        ways = []
+        for start in range(max(0, end - 64), end):
+            piece = pieces.table.get(word[start:end])
+            if piece is not None:
+                ways.append((best[start][0] + piece[1] // scale, best[start][1] + 1))
+            elif start == end - 1:
+                size = len(word[start].encode())
+                ways.append((best[start][0] + size * (pieces.byte_weight // scale), best[start][1] + size))
+        best.append(min(ways))
+    return best[-1]
+
+
 def bm25_shares(items: dict[int, list[bytes]], passage: set[bytes], k1: float, b: float
                 ) -> dict[int, float]:
     df = Counter(t for w in items.values() for t in set(w))

@@ -166,3 +166,15 @@ def test_an_edited_question_without_its_answer_is_not_reported(spark):
     found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
                            spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id) for r in found] == [(1, 7)]
+
+
+def test_every_text_of_an_item_and_short_items_are_found(spark):
+    one = "the first wording of a question that a benchmark might ask of us"
+    two = "quite another set of words under that same number of the list"
+    items = [(1, one), (1, two), (2, "Four words, no more"), (3, "ox"), (4, "..."), (5, None), (None, "Four words")]
+    docs = [(1, f"so {one} it was"), (2, f"and {two} too"), (3, "he wrote four WORDS no more than that"),
+            (4, "four words and no more"), (5, "the ox."), (6, "oxen four"), (7, f"{one} {two} four words no more ox")]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [
+        (1, 1), (2, 1), (3, 2), (5, 3), (7, 1), (7, 2), (7, 3)]

@@ -210,6 +210,32 @@ def test_encoding_goes_back_exactly(spark):
     assert all(r.round_trip for r in lattice.op9_sentencepiece(spark, SF).collect())
 
 
+def long_words():
+    rng = random.Random(11)
+    kinds = ["theandingtionwhereof", "中文日本語字符", "😀🎉𝄞", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=", "-._~%/"]
+    return [("".join(rng.choice(kind) for _ in range(n))) for kind in kinds for n in (63, 64, 65, 400, 5_000)]
+
+
+def test_long_words_are_taken_whole(spark, vocabulary):
+    words = long_words()
+    least = {w: brute.best_weight_forward(w, vocabulary) for w in words}
+    short = some_words(7)
+    assert all(brute.best_weight_forward(w, vocabulary) == divmod(brute.best_weight(w, vocabulary), pieces.COUNT)
+               for w in short)
+    assert token_counts.terminal_counts(words, vocabulary) == {w: n for w, (_, n) in least.items()}
+    for w in words:
+        ids = lattice.best_path(w, vocabulary)
+        weight = {i: x // pieces.COUNT for i, x in vocabulary.table.values()}
+        assert (sum(weight.get(i, vocabulary.byte_weight // pieces.COUNT) for i in ids), len(ids)) == least[w]
+    texts = [*words, " ".join(words), "🦩" * 400, " " + words[3]]
+    docs = docs_of(spark, texts)
+    counted = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs).collect()}
+    encoded = lattice.encode(docs)
+    assert counted == {r.doc_id: len(r.ids) for r in encoded.collect()}
+    assert counted[len(words) + 1] == 1600  # four bytes each
+    assert {r.doc_id: r.decoded for r in lattice.decode(encoded).collect()} == dict(enumerate(texts))
+
+
 def test_counts_agree_with_encoding(spark):
     counted = {r.doc_id: r.n_tokens for r in token_counts.op5_token_counts(spark, SF).collect()}
     assert counted == {r.doc_id: r.n_pieces for r in lattice.op9_sentencepiece(spark, SF).collect()}
