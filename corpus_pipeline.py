@@ -4,7 +4,9 @@ Toxic documents go, one document of each group of near duplicates stays,
 documents that hold benchmark items go, secrets are masked, and what is left is
 encoded.  ``run`` writes each stage's result to the shared folder and reads it
 again.  Rows without doc_id are judged like all others, each under a number of its
-own; rows that repeat a doc_id stay or go together.
+own; rows that repeat a doc_id stay or go together.  NULL and empty texts are never
+toxic, near another or contaminated, hold no secret and have no pieces, so they stay; texts
+of any length are judged and encoded whole; an empty table stays empty at every stage.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from salesloom.llm.toxicity import score_toxicity
 
 
 KEY = "_row_key"
+SIMILAR_PERCENT = 80  # near duplicates share as much of their five-word shingles
+SIMILAR_MATCHES = 34  # of 64 coordinates: a pair at 80% has fewer about three times in 10 million
 
 
 def without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -53,22 +57,28 @@ def without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> Data
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model rejects go.  Without labels nothing is rejected."""
     return without(docs, lambda d: score_toxicity(d, table(spark, sf_dir, "labels")).where("predicted = 1"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, lambda d: near_duplicates(d).where("not kept"))
+    """Of each group of near duplicates the document with the smallest doc_id stays; ties can't be."""
+    return without(docs, lambda d: near_duplicates(
+        d, percent=SIMILAR_PERCENT, matches=SIMILAR_MATCHES).where("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a text of the benchmark go.  Without a benchmark all stay."""
     return without(docs, lambda d: contaminated(d, table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in place; all rows and columns stay, repeated rows are masked alike."""
     return mask_secrets(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids of every row; a NULL text has NULL ids and 0 pieces."""
     return encode(docs).select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids")
 
