@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
-import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -375,11 +375,13 @@ def stamp_text(df: DataFrame, *names: str) -> DataFrame:
 
 
 def q_feedback_merge(ctx: Ctx) -> DataFrame:
-    calls = accepted_feedback(ctx)
-    even, odd = (calls.where(F.col("event_id") % 2 == r) for r in (0, 1))
-    merged = feedback.apply_feedback(feedback.latest_feedback(even), odd, ("event_id",))
+    """Two batches through the job that keeps them, and both once more."""
+    log = feedback.FeedbackLog(ctx.spark, f"{ctx.store._root()}/feedback/{uuid.uuid4().hex}")
+    calls = ctx["raw.feedback"]
+    for remainder in (0, 1, 0, 1):
+        log.record(calls.where(F.col("event_id") % 2 == remainder), ctx.as_of)
     return stamp_text(
-        merged.select("customer_id", "seller", "status", "comment", "recorded_at", "recorded_by"),
+        log.latest().select("customer_id", "seller", "status", "comment", "recorded_at", "recorded_by"),
         "recorded_at",
     )
 
@@ -689,9 +691,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def training_data():
     """Queries of the training-data operators, where that subpackage is installed."""
-    if importlib.util.find_spec("salesloom.llm") is None:
+    try:
+        return importlib.import_module("salesloom.llm.queries")
+    except ImportError as error:  # also where something that it needs is not there
+        print(f"without the training-data operators: {error}", file=sys.stderr)
         return None
-    return importlib.import_module("salesloom.llm.queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,10 +1,11 @@
 """Point-in-time customer features: nothing dated on or after the cut gets in.
 
-The sales are read in two narrow passes, by order and by SKU.  Both shrink in
-steps whose groups are bounded (days of the calendar, brands of the catalogue)
-before anything is keyed by customer alone, so a customer with a third of all
-sales is a few thousand rows by then.  The four customer tables come out hash
-partitioned by customer and join without another exchange.
+The sales are read once, into states of (customer, day) and (customer, day, SKU) that
+are stored; a set of features for any cut date is taken from them, and a new day adds
+rows and changes none.  From there groups are bounded (days of the calendar, brands
+and categories of the catalogue) before anything is keyed by customer alone, so a
+customer with a third of all sales is a few thousand rows by then.  The customer
+tables come out hash partitioned by customer and join without another exchange.
 """
 
 from __future__ import annotations
@@ -48,15 +49,39 @@ def sales_between(ctx: Ctx, start: dt.date | None, end: dt.date) -> DataFrame:
     return fact
 
 
+def day_lines(sales: DataFrame) -> DataFrame:
+    """Sums of sales by (customer, day, order) and by (customer, day, SKU), told apart by ``kind``.
+
+    One pass: a line goes to both groups before the map-side sums.
+    """
+    def of(kind: str, *held: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), *[
+            (F.col(c) if c in held else F.lit(None).cast(sales.schema[c].dataType)).alias(c)
+            for c in ("order_id", "sku", "brand", "category", "launch_date")])
+
+    both = sales.select("customer_id", "order_date", "revenue", "margin", F.inline(F.array(
+        of("order", "order_id"), of("sku", "sku", "brand", "category", "launch_date"))))
+    return both.groupBy(
+        "kind", "customer_id", "order_date", "order_id", "sku", "brand", "category", "launch_date"
+    ).agg(F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"))
+
+
+def day_base(ctx: Ctx, kind: str) -> DataFrame:
+    return ctx.store.table(
+        "day_base", lambda: day_lines(ctx["fact"]), partition_by=["kind"]).where(F.col("kind") == kind)
+
+
+def customer_days(ctx: Ctx) -> DataFrame:
+    """customer_id, order_date, orders, revenue, margin and year: the state of every customer and day."""
+    return ctx.store.table("customer_days", lambda: day_base(ctx, "order").groupBy(
+        "order_date", "customer_id").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"),
+        F.year(F.first("order_date")).alias("year")), partition_by=["year"])
+
+
 def buying_rhythm(ctx: Ctx, as_of: dt.date, window_days: int = 90) -> DataFrame:
     """Recency, frequency, value and the gaps between order days per customer."""
-    by_order = sales_between(ctx, None, as_of).groupBy(
-        "customer_id", "order_id", "order_date"
-    ).agg(F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"))
-    by_day = by_order.groupBy("customer_id", "order_date").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue"),
-        F.sum("margin").alias("margin"),
-    )
+    by_day = before(customer_days(ctx).where(F.col("year") <= as_of.year), "order_date", as_of)
     recent = F.col("order_date") >= F.date_sub(F.lit(as_of), window_days)
     per_customer = gaps(by_day, ["customer_id"], "order_date").groupBy("customer_id").agg(
         F.datediff(F.lit(as_of), F.max("order_date")).cast("double").alias("recency_days"),
@@ -79,22 +104,21 @@ def purchase_mix(ctx: Ctx, as_of: dt.date, launch_days: int = 120) -> DataFrame:
     new = (F.col("launch_date") >= F.date_sub(F.lit(as_of), launch_days)) & (
         F.col("launch_date") < F.lit(as_of)
     )
-    by_sku = sales_between(ctx, None, as_of).groupBy(
-        "customer_id", "sku", "brand", "category"
-    ).agg(F.sum("revenue").alias("revenue"), F.max(new.cast("int")).alias("launch"))
+    days = before(day_base(ctx, "sku"), "order_date", as_of)
+    by_sku = days.groupBy("customer_id", "sku", "brand", "category").agg(
+        F.sum("revenue").alias("revenue"), F.max(new.cast("int")).alias("launch"))
     by_brand = by_sku.groupBy("customer_id", "brand").agg(
         F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("skus"),
-        F.collect_set("category").alias("categories"),  # at most the catalogue's categories
         F.max("launch").alias("launch"),
     )
+    categories = days.select("customer_id", "category").distinct().groupBy("customer_id").agg(
+        F.count("category").alias("distinct_categories"))
     return by_brand.groupBy("customer_id").agg(
         F.sum("skus").alias("distinct_skus"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("categories"))))
-        .alias("distinct_categories"),
         F.count("brand").alias("distinct_brands"),
         F.max("revenue").cast("double").alias("top_brand_revenue"),
         F.coalesce(F.max("launch"), F.lit(0)).alias("bought_launch"),
-    )
+    ).join(categories, "customer_id")
 
 
 def crm_activity(ctx: Ctx, as_of: dt.date, stage_as_of: bool = True) -> DataFrame:
@@ -158,7 +182,9 @@ def build_features(
 def label(ctx: Ctx, as_of: dt.date, horizon: int = 7) -> DataFrame:
     """Customers with a sale in [as_of, as_of + horizon)."""
     end = as_of + dt.timedelta(days=horizon)
-    return sales_between(ctx, as_of, end).select("customer_id").distinct().withColumn(
+    days = before(customer_days(ctx), "order_date", end).where(
+        (F.col("order_date") >= F.lit(as_of)) & F.col("year").between(as_of.year, end.year))
+    return days.select("customer_id").distinct().withColumn(
         "bought", F.lit(1)
     )
 

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesloom.context import Store
 from salesloom.functions.columns import optional_filter, safe_ratio
 from salesloom.operators.contracts import Check, quarantine
 from salesloom.operators.merge import append_history, merge_latest
-from salesloom.operators.rank import latest_per_key
+from salesloom.operators.rank import latest_per_key, survivors
+from salesloom.sources.snapshots import Snapshots
+from salesloom.sources.tables import point_table
 
 # fixed values: outcomes a caller may record and the longest comment
 STATUSES = ("vendeu", "vai_pensar", "sem_interesse", "nao_atendeu")
@@ -63,6 +67,63 @@ def latest_feedback(feedback: DataFrame) -> DataFrame:
     return latest_per_key(feedback, ["customer_id"], "recorded_at", tie)
 
 
+class FeedbackLog:
+    """What came of the calls, as a job keeps it below a shared folder.
+
+    ``history`` has every event once, by date of the queue; ``latest`` is a versioned table
+    of the newest outcome of each customer, derived from the events as they come.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, table: str | None = None):
+        self.spark, self.table = spark, table
+        self.history_path = f"{root.rstrip('/')}/history"
+        self.versions = Snapshots(spark, f"{root.rstrip('/')}/latest")
+        self.store = Store(spark, f"feedback-{uuid.uuid4().hex}")
+
+    def history(self, like: DataFrame | None = None) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.history_path)
+        if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.read.parquet(self.history_path)
+        if like is None:
+            raise LookupError(f"no events below {self.history_path}")
+        return like.limit(0)
+
+    def latest(self) -> DataFrame:
+        return self.versions.read()
+
+    def record(self, batch: DataFrame, as_of: dt.date) -> DataFrame:
+        """Take a batch in; returns the rejected rows with ``_violations``.
+
+        Events have an ``event_id``, or get one from what they say.  Only events the history
+        lacks count, so a batch may come twice; the history is asked for the dates of
+        the batch alone.  The new version comes before the events are filed: a job that dies
+        between them changes nothing when it runs again.
+        """
+        accepted, rejected = validate_feedback(identified(batch), as_of)
+        accepted = self.store.scratch(accepted)
+        dates = accepted.select("reference").distinct()
+        known = self.history(accepted).join(F.broadcast(dates), "reference", "left_semi")
+        fresh = self.store.scratch(survivors(
+            accepted.join(known.select("event_id"), "event_id", "left_anti"),
+            ["event_id"], [F.col(c) for c in accepted.columns]))
+        version = self.versions.current()
+        before = self.versions.read() if version else fresh.limit(0)
+        self.versions.write(apply_feedback(before, fresh, ("event_id",)), after=version or 0)
+        fresh.hint("rebalance", "reference").write.mode("append").partitionBy("reference").parquet(self.history_path)
+        if self.table:
+            point_table(self.spark, self.table, self.versions)
+        self.versions.vacuum()
+        return rejected
+
+
+def identified(batch: DataFrame) -> DataFrame:
+    """``batch`` with an ``event_id`` that the same event always has."""
+    if "event_id" in batch.columns:
+        return batch
+    said = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(batch.columns)]))
+    return batch.withColumn("event_id", F.sha2(said, 256))
+
+
 def queue_with_feedback(
     queue: DataFrame, feedback: DataFrame, seller: str | None = None
 ) -> DataFrame:

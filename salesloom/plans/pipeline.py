@@ -13,7 +13,7 @@ from salesloom.operators.contracts import assert_passed, enforce
 from salesloom.plans import catalog, conform, features, feedback, marts, metrics, propensity
 from salesloom.plans import quality, queue, silver
 from salesloom.sources import arrival, ingest
-from salesloom.sources.tables import ensure_table, require_tables, write_table
+from salesloom.sources.tables import ensure_table, replace_table, require_tables, write_table
 
 TABLE_COMMENTS = {
     "dim_customer": "One row per customer with its order history",
@@ -146,7 +146,7 @@ def model(ctx: Ctx, db: str, root: str, iterations: int, k: int = propensity.TOP
     registry_name = f"{db}.model_registry"
     known = spark.table(registry_name) if spark.catalog.tableExists(registry_name) else None
     registry = propensity.save_version(spark, fitted, root, "purchase_propensity", known)
-    write_table(ctx.store.scratch(registry), registry_name)
+    replace_table(registry, registry_name)
     current, version = propensity.load_promoted(spark.table(registry_name), "purchase_propensity")
     result = propensity.model_metrics(
         ctx.store, scored, oof, propensity.baseline_auc(ctx.store, holdout), version,

@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesloom.context import Store
 from salesloom.plans.catalog import with_comments
+from salesloom.sources.snapshots import Snapshots
 
 
 class MissingTables(LookupError):
@@ -34,13 +36,45 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, store, **how) -> None:
-    """Overwrite a table with a result that was computed from it.
+def point_table(spark: SparkSession, name: str, snapshots: Snapshots) -> None:
+    """Make a table of the catalog show the current version of ``snapshots``.
 
-    Spark cannot overwrite what it reads; the new rows are written to the shared
-    folder first and the table is swapped from there.
+    One change of its location; readers by name see the version before or this one.
+    Columns added since are added, others have to stay as they are.
     """
-    write_table(store.scratch(df), name, **how)
+    folder = snapshots.folder()
+    schema = spark.read.parquet(folder).schema
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{folder}'")
+        return
+    known = {f.name: f.dataType for f in spark.table(name).schema}
+    if any(f.name in known and known[f.name] != f.dataType for f in schema) or set(known) - set(schema.names):
+        raise ValueError(f"{name} can't show columns that changed: {known} / {schema.simpleString()}")
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
+def replace_table(df: DataFrame, name: str, store: Store | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite a table with a result that may be computed from it, without a gap.
+
+    The rows become a version in a folder of the table's own beside the database; only
+    then does the table show them, so a write that fails leaves the old rows.  A
+    partitioned table, whose partitions the catalog keeps one by one, is written
+    anew from ``store`` instead.
+    """
+    spark = df.sparkSession
+    if partition_by:
+        write_table((store or Store(spark, "replace")).scratch(df), name, partition_by=partition_by)
+        return
+    database, _, short = name.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    snapshots = Snapshots(spark, f"{place}/_versions/{short}")
+    snapshots.write(df)
+    point_table(spark, name, snapshots)
 
 
 def write_bucketed(

@@ -44,6 +44,15 @@ def test_features_have_no_python_and_read_narrow_columns(ctx):
     assert scans and all("customer_name" not in s and "unit_price" not in s for s in scans)
 
 
+def test_both_feature_sets_read_the_fact_once(ctx):
+    once = plan(features.day_lines(ctx["fact"]))
+    assert len(re.findall("FileScan parquet", once)) == 1 and "Expand" not in once
+    for build in (features.training_set, features.scoring_set):
+        files = build(ctx).inputFiles()
+        assert not any("/sales_fact/" in f for f in files)
+        assert all(any(f"/{name}/" in f for f in files) for name in ("day_base", "customer_days"))
+
+
 def test_date_cuts_prune_partitions_and_reach_the_files(ctx, capsys):
     features.label(ctx, ctx.train_as_of).explain("formatted")
     text = capsys.readouterr().out
