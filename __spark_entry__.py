@@ -26,7 +26,8 @@ from salesloom.operators.stats import BAND_NAMES, auc, calibration, lift_at_k, s
 from salesloom.plans import conform, dashboard, features, feedback  # noqa: E402
 from salesloom.plans import marts, metrics, propensity, quality, queue, silver  # noqa: E402
 from salesloom.sources import arrival, ingest, testdata  # noqa: E402
-from salesloom.sources.manifest import EXTRACTS  # noqa: E402
+from salesloom.sources import quarantine as dead_letters  # noqa: E402
+from salesloom.sources.manifest import COLUMNS, EXTRACTS  # noqa: E402
 
 _contexts: dict[tuple[str, str], Ctx] = {}
 
@@ -562,6 +563,53 @@ def q_csv_customers(ctx: Ctx) -> DataFrame:
     )
 
 
+def q_quarantine(ctx: Ctx) -> DataFrame:
+    """Letters by extract, column and reason of the dirty delivery, and rows in, kept and quarantined.
+
+    Visits come with part files of an older layout beside, whose lines lack fields.
+    """
+    def of(name: str) -> DataFrame:
+        system = next(s for s, names in EXTRACTS.items() if name in names)
+        path = f"{delivered(ctx)}/{system}/{name}.csv"
+        if name == "visitas":
+            more = f"{ctx.store._root()}/late-{uuid.uuid4().hex}"
+            ctx["visits"].where(F.col("visit_id") % 40 == 1).select(
+                F.col("visit_id").alias("visita_id"), F.col("customer_id").alias("cliente_id")
+            ).write.option("header", "true").csv(more)
+            path = [path, more]
+        lines = dead_letters.read_lines(ctx.spark, ctx.store, path, COLUMNS[name])
+        return dead_letters.balance(
+            lines, silver.typed_columns()[name], dead_letters.REQUIRED[name]).withColumn("extract", F.lit(name))
+
+    return reduce(DataFrame.unionByName, [of(name) for names in EXTRACTS.values() for name in names])
+
+
+def q_broken_delivery(ctx: Ctx) -> DataFrame:
+    """A delivery with each thing that can be wrong, judged file by file; bytes are compared."""
+    root = f"{ctx.store._root()}/broken-{uuid.uuid4().hex}"
+    supplier = ctx["src.supplier"]
+
+    def put(system: str, name: str, keep: Column, header: str = "true", **options: str) -> None:
+        """A part file of lines of equal length."""
+        supplier.where(keep).coalesce(1).select(
+            F.format_string("%06d", F.col("s_suppkey").cast("bigint")).alias("id"), F.lit("x").alias("name")
+        ).write.mode("append").options(header=header, **options).csv(f"{root}/{system}/{name}.csv")
+
+    every, none, third = F.lit(True), F.lit(False), F.col("s_suppkey") % 3 == 0
+    put("erp", "produtos", every)
+    for half in (0, 1):
+        put("erp", "pedidos", F.col("s_suppkey") % 2 == half)
+    put("erp", "itens_pedido", none)  # a header alone
+    put("erp", "pagamentos", none, header="false")  # not even that
+    put("crm", "clientes", every, compression="gzip")
+    for name in ("vendedores", "carteira", "oportunidades"):
+        put("crm", name, third)
+    # neither erp/estoque nor crm/visitas
+    return arrival.judge(arrival.probe(ctx.spark, root, dt.datetime(2001, 8, 2))).select(
+        "system", "file", F.when(F.col("file") == "clientes.csv", None).otherwise(F.col("bytes")).alias("bytes"),
+        "rows", "verdict")
+
+
 def q_arrival_summary(ctx: Ctx) -> DataFrame:
     """Files, rows and whether anything is missing among the delivered extracts."""
     control = arrival.probe(ctx.spark, delivered(ctx), dt.datetime(2001, 8, 2))
@@ -681,6 +729,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "csv_opportunities": q_csv_opportunities,
     "csv_visits": q_csv_visits,
     "arrival_summary": q_arrival_summary,
+    "quarantine": q_quarantine,
+    "broken_delivery": q_broken_delivery,
 }
 
 

@@ -935,3 +935,38 @@ QUERIES["model_gates"] = sql(f"""
     "c_split", "c_quality")
 QUERIES["arrival_summary"] = "SELECT CAST(10 AS BIGINT) AS files, CAST(" + " + ".join(
     f"({count})" for count in EXTRACT_ROWS.values()) + " AS BIGINT) AS data_rows"
+
+# letters of the dirty delivery: values of columns a row can't do without take it along
+REQUIRED_AND_LOST = {"estoque": "sku % 20 = 1"}
+LATE_VISITS = "SELECT count(*) FROM events WHERE event_id % 40 = 1"
+
+
+def letters_of(extract: str, source: str, columns: list[tuple[str, str, str]]) -> str:
+    late = f"({LATE_VISITS})" if extract == "visitas" else "0"
+    whole = f"({late} + (SELECT count(*) FROM {source} WHERE {REQUIRED_AND_LOST.get(extract, NEVER)}))"
+    rows = [("", "rows in", f"({EXTRACT_ROWS[extract]}) + {late}"), ("", "rows quarantined", whole),
+            ("", "rows kept", f"({EXTRACT_ROWS[extract]}) + {late} - {whole}"), ("", "fields", late)]
+    rows += [(c, "untyped", f"(SELECT count(*) FROM {source} WHERE {lost})")
+             for c, _, lost in columns if lost != NEVER]
+    return " UNION ALL ".join(
+        f"SELECT '{extract}' AS extract, '{c}' AS \"column\", '{reason}' AS reason, CAST({n} AS BIGINT) AS n"
+        for c, reason, n in rows)
+
+
+QUERIES["quarantine"] = sql("SELECT * FROM (" + " UNION ALL ".join(
+    letters_of(*typed) for typed in TYPED) + ") WHERE n > 0",
+    "c_stock", "c_rawcust", "c_sellers", "c_assignments", "c_crm")
+
+# lines of nine bytes under headers of eight
+_THIRD = "(SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0)"
+_ALL = "(SELECT count(*) FROM supplier)"
+BROKEN = [
+    ("erp", "produtos", f"8 + 9 * {_ALL}", _ALL, "ok"), ("erp", "pedidos", f"16 + 9 * {_ALL}", _ALL, "ok"),
+    ("erp", "itens_pedido", "8", "0", "header only"), ("erp", "pagamentos", "0", "0", "empty"),
+    ("erp", "estoque", "-1", "-1", "missing"), ("crm", "clientes", "NULL", _ALL, "ok"),
+    *[("crm", name, f"8 + 9 * {_THIRD}", _THIRD, "ok") for name in ("vendedores", "carteira", "oportunidades")],
+    ("crm", "visitas", "-1", "-1", "missing"),
+]
+QUERIES["broken_delivery"] = " UNION ALL ".join(
+    f"SELECT '{system}' AS system, '{name}.csv' AS file, CAST({size} AS BIGINT) AS bytes, "
+    f"CAST({rows} AS BIGINT) AS rows, '{verdict}' AS verdict" for system, name, size, rows, verdict in BROKEN)

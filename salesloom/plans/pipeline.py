@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from salesloom.context import Ctx, Store, size_shuffles
 from salesloom.operators.contracts import assert_passed, enforce
 from salesloom.plans import catalog, conform, features, feedback, marts, metrics, propensity
-from salesloom.plans import quality, queue, silver
+from salesloom.plans import quality, queue, silver, views
 from salesloom.sources import arrival, ingest
+from salesloom.sources import quarantine as dead_letters
+from salesloom.sources.manifest import COLUMNS, EXTRACTS
 from salesloom.sources.tables import ensure_table, replace_table, require_tables, write_table
 
 TABLE_COMMENTS = {
@@ -95,6 +98,18 @@ def typed(spark: SparkSession, db: str) -> None:
     )
 
 
+def letters(spark: SparkSession, root: str, db: str, store: Store) -> None:
+    """Save what typing could not use of every extract, with its reason."""
+    found = []
+    for system, names in EXTRACTS.items():
+        for name in names:
+            typed_by, required = silver.typed_columns()[name], dead_letters.REQUIRED[name]
+            lines = dead_letters.read_lines(spark, store, f"{root}/{system}/{name}.csv", COLUMNS[name])
+            found.append(dead_letters.split(lines, typed_by, required)[1].withColumn("extract", F.lit(name)))
+    write_table(reduce(DataFrame.unionByName, found), f"{db}.dead_letters")
+    catalog.apply_comments(spark, f"{db}.dead_letters", "Values and lines that typing could not use, with the reason")
+
+
 def saved_context(spark: SparkSession, db: str, as_of: dt.date, train_as_of: dt.date) -> Ctx:
     """A context over the saved tables of a database."""
     def saved(name):
@@ -120,13 +135,14 @@ def gold(ctx: Ctx, db: str) -> None:
     )
     for name, build in {
         "mart_seller_month": marts.seller_month, "mart_product_month": marts.product_month,
-        "mart_receivables": marts.receivables, **VIEWS,
+        "mart_receivables": marts.receivables,
     }.items():
-        df = build(ctx)
-        write_table(df, f"{db}.{name}", comments={c: c.replace("_", " ") for c in df.columns}
-                    if name in VIEWS else None)
+        write_table(build(ctx), f"{db}.{name}")
+    for name in VIEWS:
+        views.publish(ctx.spark, db, name, ctx.as_of, TABLE_COMMENTS[name])
     for name, text in TABLE_COMMENTS.items():
-        catalog.apply_comments(ctx.spark, f"{db}.{name}", text)
+        if name not in VIEWS:
+            catalog.apply_comments(ctx.spark, f"{db}.{name}", text)
 
 
 def model(ctx: Ctx, db: str, root: str, iterations: int, k: int = propensity.TOP_K) -> DataFrame:
@@ -176,6 +192,7 @@ def run(
     typed(spark, db)
     ctx = saved_context(spark, db, as_of, train_as_of)
     try:
+        letters(spark, root, db, ctx.store)
         after_cleaning(ctx, db, model_root, fact_rows, queue_size, iterations, gates)
     finally:
         ctx.store.clear()

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.sources.manifest import EXTRACTS, manifest
+from salesloom.sources.manifest import EXTRACTS
 
 MISSING = -1
 
@@ -17,8 +17,9 @@ class ArrivalError(RuntimeError):
     pass
 
 
-# <system>/<name>.csv, a file or a folder of part files
-_EXTRACT = r"/([^/]+)/([^/]+\.csv)(/[^/]+)?$"
+# <system>/<name>.csv, a file or a folder of part files, plain or compressed
+_EXTRACT = r"/([^/]+)/([^/]+\.csv)(\.gz|\.bz2)?(/[^/]+)?$"
+_FILES = "*.{csv,csv.gz,csv.bz2}"
 
 
 def _named(path) -> list:
@@ -30,11 +31,23 @@ def file_sizes(spark: SparkSession, root: str) -> DataFrame:
     """(system, file, bytes) of the extracts below ``root``; contents are not read."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv").load(root)
+        .option("pathGlobFilter", _FILES).load(root)
     )
     return files.groupBy(*_named(F.col("path"))).agg(F.sum("length").alias("bytes"))
 
 
+def present(spark: SparkSession, root: str, extracts: Mapping[str, Sequence[str]] = EXTRACTS) -> DataFrame:
+    """(system, file, there) of the expected files; a listing leaves out empty ones, so each is asked for."""
+    def there(name: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return any(fs.exists(path.suffix(end)) for end in ("", ".gz", ".bz2"))
+
+    return spark.createDataFrame(
+        [(system, f"{name}.csv", there(f"{system}/{name}.csv")) for system, names in extracts.items() for name in names],
+        "system string, file string, there boolean")
+
+
 def file_rows(spark: SparkSession, root: str) -> DataFrame:
     """(system, file, rows) of the extracts below ``root``, headers not counted.
 
@@ -42,7 +55,7 @@ def file_rows(spark: SparkSession, root: str) -> DataFrame:
     """
     lines = (
         spark.read.schema("first string").option("header", "true")
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(root)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", _FILES).csv(root)
     )
     per_file = lines.groupBy(F.col("_metadata.file_path").alias("_path")).agg(
         F.count(F.lit(1)).alias("n")
@@ -59,26 +72,34 @@ def probe(
     A file that is not there has -1 bytes and -1 rows, one without data rows 0.
     """
     key = ["system", "file"]
-    found = manifest(spark, extracts).join(file_sizes(spark, root), key, "left").join(
+    found = present(spark, root, extracts).join(file_sizes(spark, root), key, "left").join(
         file_rows(spark, root), key, "left"
     )
-    size = F.coalesce("bytes", F.lit(MISSING)).cast("bigint")
-    rows = F.coalesce("rows", F.when(F.col("bytes").isNull(), MISSING).otherwise(0))
+    absent = F.when(F.col("there"), 0).otherwise(MISSING)
+    size = F.coalesce("bytes", absent).cast("bigint")
+    rows = F.coalesce("rows", F.when(F.col("bytes").isNull(), absent).otherwise(0))
     return found.select(
         *key, size.alias("bytes"), rows.cast("bigint").alias("rows"),
         F.lit(checked_at.isoformat(timespec="seconds")).alias("checked_at"),
     )
 
 
+def judge(control: DataFrame) -> DataFrame:
+    """Add ``verdict``: missing, empty, header only or ok; nothing is raised."""
+    return control.withColumn("verdict", F.when(F.col("bytes") == MISSING, "missing").when(
+        F.col("bytes") == 0, "empty").when(F.col("rows") <= 0, "header only").otherwise("ok"))
+
+
+# fixed values: how the complaint names a verdict
+COMPLAINTS = {"missing": "missing or empty", "empty": "missing or empty", "header only": "no data rows"}
+
+
 def check_arrival(control: DataFrame) -> DataFrame:
     """Raise with every file that is missing, empty or has only a header."""
-    late = control.where((F.col("bytes") <= 0) | (F.col("rows") <= 0)).collect()
+    late = judge(control).where("verdict <> 'ok'").collect()
     if late:  # at most as many rows as the manifest has files
         raise ArrivalError("; ".join(
-            f"{r['system']}/{r['file']}: "
-            + ("missing or empty" if r["bytes"] <= 0 else "no data rows")
-            for r in sorted(late)
-        ))
+            f"{r['system']}/{r['file']}: {COMPLAINTS[r['verdict']]}" for r in sorted(late)))
     return control
 
 
