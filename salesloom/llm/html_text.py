@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +24,12 @@ ROOT = ":root"  # path of the whole page, where text stands outside all containe
 MOST = 0.5  # share of a page's prose from which parts of a class don't drop an element
 MOST_WHOLE = 0.9  # the same of a whole class, as 'ad' or 'comments', where no article or main has text
 LEAST_PART = 0.25  # of the own best container's prose that the host's path must hold
-VOTES = 3  # containers a page may vote for
-CLASSES_IN_PATH = 3
+VOTES = 3  # containers a page votes for; a page's own text never depends on its votes
+CLASSES_IN_PATH = 3  # in order; what is the same up to them counts as one path
 
 # Fixed lists of tags and of words in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea title object".split())
+RAW = frozenset("script style template iframe svg textarea title".split())
 DROPPED = frozenset(
     "nav header footer aside form button select dialog menu canvas audio video head".split())
 BLOCKS = frozenset(
@@ -44,6 +44,11 @@ WORDS_DROPPED = frozenset(
     "newsletter subscribe subscription signup social share sharing related recommended comment "
     "comments commentlist disqus reply replies breadcrumb breadcrumbs popup modal overlay widget "
     "login pagination pager toolbar skip hidden complementary contentinfo search paywall".split())
+# beside listed words these tell nothing else: 'share-buttons' is dropped inside an article, 'search-methods' is not
+WORDS_NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons container desktop fixed form global group icon icons "
+    "inner item items left link links list mobile outer page panel primary right secondary section side "
+    "site slot sticky text title top unit wrap wrapper".split())
 # with one of these a class tells what a layout has, not what the element is
 MODIFIERS = frozenset("has no not with without open closed enabled disabled is".split())
 WORDS_MAIN = frozenset("article content post entry story".split())
@@ -59,12 +64,24 @@ WORD = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+_MODULUS = 0xC5A9_37D1_8E4B_60F2_9B1D_73E6_2AF8_54C3  # odd; of the numbers that stand for paths
+
+
+def _longer(number: int, text: str) -> int:
+    """The number of a path with ``text`` added: that of the whole string, whatever its parts."""
+    data = text.encode("utf-8", "surrogatepass")
+    return ((number << 8 * len(data)) + int.from_bytes(data, "big")) % _MODULUS
+
+
+@dataclass(slots=True)
 class Node:
     tag: str
-    path: str
+    step: str
+    number: int  # stands for the path, which would take memory with the square of the depth
+    depth: int
     dropped: bool
     parent: Node | None
+    within: bool = False  # is or stands in an article or main
     hard: bool = False  # dropped for its tag or its state, not for words in its class
     words: frozenset[str] = frozenset()  # the words in its class that drop it
     whole: bool = False  # one of them is all of a class, id or role
@@ -73,7 +90,14 @@ class Node:
     chars: int = 0  # of text that is not dropped, with everything below
     links: int = 0
     bonus: float = 1.0
-    blocks: list[list[str]] = field(default_factory=list)
+
+    def path(self) -> str:
+        steps: list[str] = []
+        node: Node | None = self
+        while node is not None and node.parent is not None:
+            steps.append(node.step)
+            node = node.parent
+        return ">".join(reversed(steps)) or ROOT
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -92,13 +116,15 @@ class Page:
         self.nodes: list[Node] = []
         self.text: list[str] = []  # blocks below the wanted path, in page order
         self.matched = False
-        self._wanted = wanted
+        self._wanted = None if wanted is None else _longer(0, wanted)
         self._inside = 0  # open elements of the wanted path
         self._block: list[str] = []
         self._spared = spared  # elements, by order, that words in their class don't drop
         self._order = 0
         self.by_words: list[Node] = []
-        root = self.root = Node("", "", False, None)
+        root = self.root = Node("", "", 0, -1, False, None)
+        self._open_at: dict[str, list[int]] = {}  # places on the stack of open elements, by tag
+        self._blocks_at: list[int] = []
         if wanted == ROOT:
             self.matched, self._inside = True, 1
         self._stack = [root]
@@ -169,24 +195,31 @@ class Page:
         label = " ".join((found.get("class", ""), found.get("id", ""), found.get("role", "")))
         tokens = [set(WORD.findall(token)) for token in label.lower().split()]
         words = set().union(*tokens)
+        within = parent.within or name in BONUS
         self._order += 1
         hard = parent.hard or name in DROPPED or _is_hidden(found)
         telling: frozenset[str] = frozenset()
         if name in ("html", "body"):
             hard = False
         elif name not in ("article", "main") and self._order not in self._spared:
-            telling = WORDS_DROPPED & set().union(
-                *[t for t in tokens if not t & MODIFIERS])
+            # inside an article only classes that say nothing else
+            telling = WORDS_DROPPED & set().union(*[
+                t for t in tokens if not t & MODIFIERS
+                and (not within or t <= WORDS_DROPPED | WORDS_NEUTRAL)])
         dropped = hard or bool(telling) or parent.dropped and name not in ("html", "body")
         classes = sorted(DIGITS.sub("#", c) for c in found.get("class", "").lower().split())
         step = ".".join([name, *classes[:CLASSES_IN_PATH]])
-        node = Node(name, f"{parent.path}>{step}" if parent.path else step, dropped, parent, hard, telling,
+        node = Node(name, step, _longer(parent.number, f">{step}" if parent.parent else step), parent.depth + 1,
+                    dropped, parent, within, hard, telling,
                     not telling.isdisjoint(label.lower().split()), self._order)
         node.bonus = BONUS.get(name, 1.3 if words & WORDS_MAIN else 1.0)
+        self._open_at.setdefault(name, []).append(len(self._stack))
+        if name in BLOCKS:
+            self._blocks_at.append(len(self._stack))
         self._stack.append(node)
         if name == "a":
             self._links += 1
-        if self._wanted is not None and not dropped and node.path == self._wanted:
+        if self._wanted is not None and not dropped and node.number == self._wanted:
             self.matched = True
             self._inside += 1
         if name in CONTAINERS and not dropped:
@@ -194,11 +227,14 @@ class Page:
 
     def _pop(self) -> None:
         node = self._stack.pop()
-        if node.tag in BLOCKS and self._inside:
-            self._flush()
+        self._open_at[node.tag].pop()
+        if node.tag in BLOCKS:
+            self._blocks_at.pop()
+            if self._inside:
+                self._flush()
         if node.tag == "a":
             self._links -= 1
-        if self._wanted is not None and not node.dropped and node.path == self._wanted:
+        if self._wanted is not None and not node.dropped and node.number == self._wanted:
             self._inside -= 1
         if node.parent is not None:
             node.parent.chars += node.chars
@@ -207,48 +243,44 @@ class Page:
         if node.words and not node.hard:
             self.by_words.append(node)
 
+    def _last(self, *tags: str) -> int:
+        """The highest place on the stack of an element with one of these tags; 0 for none."""
+        return max((at[-1] for tag in tags if (at := self._open_at.get(tag))), default=0)
+
+    def _pop_to(self, place: int) -> None:
+        while len(self._stack) > place:
+            self._pop()
+
     def _end_paragraph(self) -> None:
         """A block ends an open paragraph, and inline tags left open in it."""
-        for k in range(len(self._stack) - 1, 0, -1):
-            tag = self._stack[k].tag
-            if tag == "p":
-                while len(self._stack) > k:
-                    self._pop()
-                return
-            if tag in BLOCKS:
-                return
+        if self._blocks_at and self._stack[self._blocks_at[-1]].tag == "p":
+            self._pop_to(self._blocks_at[-1])
 
     def _end_sibling(self, name: str) -> None:
         same = {"td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}.get(
             name, (name,))
-        for k in range(len(self._stack) - 1, 0, -1):
-            tag = self._stack[k].tag
-            if tag in same:
-                while len(self._stack) > k:
-                    self._pop()
-                return
-            if tag in ("ul", "ol", "table", "tbody", "thead", "tr", "dl", "select", "body", "div"):
-                return
+        place = self._last(*same)
+        if place and place >= self._last(
+                "ul", "ol", "table", "tbody", "thead", "tr", "dl", "select", "body", "div"):
+            self._pop_to(place)
 
     def _close(self, name: str) -> None:
         if name in VOID or name in RAW:
             if name == "br" and self._inside:
                 self._flush()
             return
-        for k in range(len(self._stack) - 1, 0, -1):
-            if self._stack[k].tag == name:
-                # an inline end tag does not close a block it was not opened in
-                if name not in BLOCKS and any(n.tag in BLOCKS for n in self._stack[k + 1:]):
-                    return
-                while len(self._stack) > k:
-                    self._pop()
-                return
-        if name in BLOCKS and self._inside:
+        place = self._last(name)
+        if place:
+            # an inline end tag does not close a block it was not opened in
+            if name in BLOCKS or not self._blocks_at or self._blocks_at[-1] < place:
+                self._pop_to(place)
+        elif name in BLOCKS and self._inside:
             self._flush()
 
     def scores(self) -> list[tuple[str, float]]:
         """The best containers' paths: text kept, less links, in favour of the tightest."""
-        best: dict[str, float] = {}
+        best: dict[int, float] = {}
+        first: dict[int, Node] = {}
         whole = self.root.chars
         if not whole:
             return []
@@ -258,15 +290,20 @@ class Page:
         for n in nodes:
             if n.chars > 0:
                 # of containers that hold the same text the deeper is better
-                depth = n.path.count(">")
                 prose = n.chars * max((1 - n.links / n.chars) ** 2, 0.001)
-                path = n.path or ROOT
-                best[path] = best.get(path, 0.0) + prose / whole * n.bonus * (1 + 0.01 * depth)
-        return sorted(best.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
+                best[n.number] = best.get(n.number, 0.0) + prose / whole * n.bonus * (1 + 0.01 * max(n.depth, 0))
+                first.setdefault(n.number, n)
+        if not best:
+            return []
+        # only what can be among the first is spelt out
+        least = sorted(best.values(), reverse=True)[:VOTES][-1]
+        named = [(first[k].path(), score) for k, score in best.items() if score >= least]
+        return sorted(named, key=lambda x: (-x[1], x[0]))[:VOTES]
 
     def prose_of(self, path: str) -> int:
         """Characters of kept text outside links below a path."""
-        nodes = [self.root] if path == ROOT else [n for n in self.nodes if n.path == path]
+        number = _longer(0, path)
+        nodes = [self.root] if path == ROOT else [n for n in self.nodes if n.number == number]
         return sum(n.chars - n.links for n in nodes)
 
 
@@ -332,8 +369,10 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, path of every row of ``pages``.
 
-    A NULL or empty page, or one without text that is kept, gives an empty text.  A NULL url counts as one nameless host.  Repeated rows give a
-    row each; other columns are ignored; an empty table gives no row.
+    A NULL or empty page, or one without text that is kept, gives an empty text.  A NULL
+    url counts as one nameless host.  Repeated rows give a row each; other columns are
+    ignored; an empty table gives no row.  Time and memory of a page are in proportion to
+    its length, however deep its elements and however many end tags match none.
     """
     ship(pages.sparkSession)
     known = stored(host_paths(pages))

@@ -283,6 +283,43 @@ def test_layout_classes_do_not_drop_the_article():
     assert text_of(page(f"<div class='content'>{ARTICLE}</div>{long}")) == LINES
 
 
+def test_sections_and_formulas_inside_an_article_stay():
+    prose = "<p>" + "Words of the article that go on. " * 20 + "</p>"
+    kept = ("<section class='search-methods'><p>Methods of the search</p></section>"
+            "<div class='alert-study'><p>Study of alerts</p></div>"
+            "<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> <object>drawn</object></p>"
+            "<noscript><p>Plain table</p></noscript>")
+    gone = ("<div class='share-buttons'>Share</div><div class='ad-banner'>Advert</div>"
+            "<div class='comment-list'>First!</div><div class='site-header'>Head</div><svg><text>no</text></svg>")
+    for tag in ("article", "main"):
+        text = text_of(page(f"<{tag}>{prose}{kept}{gone}</{tag}>"))
+        assert text.split("\n")[1:] == ["Methods of the search", "Study of alerts", "E = mc2 drawn", "Plain table"]
+
+
+def test_deep_and_broken_pages_take_time_and_memory_in_proportion():
+    import time
+    import tracemalloc
+
+    made = {
+        "nested": lambda n: "<div>" * n + "deep words",
+        "unmatched": lambda n: "<div>" * n + "</b></section>" * n + "deep words",
+        "inline": lambda n: "<b><div>" + "<i>" * n + "</b><hr>" * n + "deep words",
+        "lists": lambda n: "<ul>" + "<li><i>" * n + "deep words",
+        "classes": lambda n: "<div class='one two three'>" * n + "deep words",
+    }
+    for name, make in made.items():
+        took = []
+        for n in (10_000, 50_000):
+            begin = time.process_time()
+            assert text_of(make(n)) == "deep words", name
+            took.append(time.process_time() - begin)
+        assert took[1] < 20 * max(took[0], 0.05), name  # with the square it would be 25 times and more
+    tracemalloc.start()
+    text_of(made["classes"](50_000))
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_pages_without_containers_with_many_links_and_with_other_templates():
     assert text_of(ARTICLE) == text_of(f"<html><title>T</title>{ARTICLE}") == LINES
     assert text_of("no markup at all") == "no markup at all"
