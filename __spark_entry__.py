@@ -618,19 +618,18 @@ def q_arrival_summary(ctx: Ctx) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # conformed tables
-    "sales_fact": lambda c: c["fact"].drop("unit_price", "launch_date"),
+    "sales_fact": lambda c: c["fact"],
     "sales_fact_totals": lambda c: conform.control_totals(c["fact"]),
-    "dim_customer": lambda c: conform.dim_customer(c).drop("district"),
-    "dim_product": lambda c: conform.dim_product(c).drop("unit", "list_price"),
-    "dim_seller": lambda c: conform.dim_seller(c).drop("hired_on"),
+    "dim_customer": conform.dim_customer,
+    "dim_product": conform.dim_product,
+    "dim_seller": conform.dim_seller,
     "dim_calendar": conform.dim_calendar,
     # cleaning, contracts, deduplication
     "clean_dates": q_clean_dates,
     "clean_tax_id": q_clean_tax_id,
     "clean_flags": q_clean_flags,
     "stage_map": q_stage_map,
-    "dedup_customers": lambda c: silver.clean_customers(c["raw.customers"], ids_unique=True).drop(
-        "district", "tax_id_valid"),
+    "dedup_customers": lambda c: silver.clean_customers(c["raw.customers"], ids_unique=True),
     "dedup_id_map": lambda c: c["customer_map"],
     "remapped_fact_totals": q_survivor_fact,
     "discontinued_flag": q_discontinued,
@@ -703,7 +702,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "followup_by_seller": q_followup,
     "followup_totals": q_followup_totals,
     # dashboard
-    "dash_base": lambda c: dashboard.dashboard_base(c).drop("unit_price", "launch_date"),
+    "dash_base": dashboard.dashboard_base,
     "dash_counters": q_dash(dashboard.counters),
     "dash_counters_filtered": q_dash(
         dashboard.counters, year=2000, segment=["HOUSEHOLD", "MACHINERY"], city=None),

@@ -61,13 +61,17 @@ COMMON: dict[str, tuple[tuple[str, ...], str]] = {
                  AS quantity,
                CAST(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END
                  * CAST(l_extendedprice AS DECIMAL(12,2))
-                 * (1 - CAST(l_discount AS DECIMAL(6,2))) AS DECIMAL(18,4)) AS revenue
+                 * (1 - CAST(l_discount AS DECIMAL(6,2))) AS DECIMAL(18,4)) AS revenue,
+               -- net value by units, rounded half up in whole numbers
+               CAST((2 * CAST(10000 * CAST(l_extendedprice AS DECIMAL(12,2))
+                        * (1 - CAST(l_discount AS DECIMAL(6,2))) AS BIGINT) + 100 * CAST(l_quantity AS BIGINT))
+                    // nullif(200 * CAST(l_quantity AS BIGINT), 0) AS DOUBLE) / 100 AS unit_price
         FROM lineitem"""),
     "c_fact": (("c_lines", "c_orders", "c_customers", "c_products"), """
         SELECT o.order_date, CAST(year(o.order_date) AS BIGINT) AS year,
                CAST(month(o.order_date) AS BIGINT) AS month, o.channel, l.order_id, l.seller_id,
                o.customer_id, c.name AS customer_name, c.segment, c.city, c.state, l.sku,
-               p.category, p.brand, p.scent_note, l.quantity, l.revenue, l.is_return,
+               p.category, p.brand, p.scent_note, p.launch_date, l.quantity, l.unit_price, l.revenue, l.is_return,
                CAST(l.quantity * abs(p.unit_cost) AS DECIMAL(18,2)) AS cost,
                CAST(l.revenue - CAST(l.quantity * abs(p.unit_cost) AS DECIMAL(18,2))
                  AS DECIMAL(18,4)) AS margin
@@ -434,7 +438,8 @@ QUERIES: dict[str, str] = {
     "sales_fact": sql("""
         SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date,
           CAST(revenue AS DOUBLE) AS revenue, CAST(cost AS DOUBLE) AS cost,
-          CAST(margin AS DOUBLE) AS margin, CAST(quantity AS BIGINT) AS quantity)
+          CAST(margin AS DOUBLE) AS margin, CAST(quantity AS BIGINT) AS quantity,
+          CAST(launch_date AS VARCHAR) AS launch_date)
         FROM c_fact""", "c_fact"),
     "sales_fact_totals": sql(f"""
         SELECT count(*) AS row_count, {money('sum(revenue)')} AS net_revenue,
@@ -446,16 +451,17 @@ QUERIES: dict[str, str] = {
     "dim_customer": sql("""
         SELECT * REPLACE (CAST(registered_on AS VARCHAR) AS registered_on,
           CAST(first_order AS VARCHAR) AS first_order, CAST(last_order AS VARCHAR) AS last_order,
-          CAST(net_revenue AS DOUBLE) AS net_revenue) FROM c_dimcust""", "c_dimcust"),
+          CAST(net_revenue AS DOUBLE) AS net_revenue), 'Nao informado' AS district
+        FROM c_dimcust""", "c_dimcust"),
     "dim_product": sql("""
         SELECT p.sku, p.name, p.brand, p.category, p.scent_note,
-               CAST(p.unit_cost AS DOUBLE) AS unit_cost,
+               CAST(p.unit_cost AS DOUBLE) AS unit_cost, CAST(p.unit_cost AS DOUBLE) AS list_price, 'UN' AS unit,
                CAST(p.launch_date AS VARCHAR) AS launch_date,
                NOT p.active AND p.sku IN (SELECT sku FROM c_lines) AS discontinued,
                p.active AS catalogue_active
         FROM c_products p""", "c_products", "c_lines"),
     "dim_seller": sql("""
-        SELECT seller_id, name, region, state, CAST(left_on AS VARCHAR) AS left_on,
+        SELECT seller_id, name, region, state, '1994-01-01' AS hired_on, CAST(left_on AS VARCHAR) AS left_on,
                left_on IS NULL AS active, CAST(monthly_target AS DOUBLE) AS monthly_target
         FROM c_sellers""", "c_sellers"),
     "dim_calendar": sql("""
@@ -485,7 +491,8 @@ QUERIES: dict[str, str] = {
         FROM events GROUP BY 1, 2""",
     "dedup_customers": sql("""
         SELECT customer_id, tax_id, name, CAST(registered_on AS VARCHAR) AS registered_on,
-               active, segment, city, state FROM c_customers""", "c_customers"),
+               active, segment, city, state, tax_id_valid, CAST(NULL AS VARCHAR) AS district
+        FROM c_customers""", "c_customers"),
     "dedup_id_map": sql("""
         SELECT i.customer_id AS id, c.customer_id AS canonical_id
         FROM c_identity i JOIN c_customers c USING (identity)""", "c_identity", "c_customers"),
@@ -908,7 +915,8 @@ QUERIES["dq_all"] = sql(" UNION ALL ".join([
 QUERIES["dash_base"] = sql("""
     SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date,
       CAST(revenue AS DOUBLE) AS revenue, CAST(cost AS DOUBLE) AS cost,
-      CAST(margin AS DOUBLE) AS margin, CAST(quantity AS BIGINT) AS quantity),
+      CAST(margin AS DOUBLE) AS margin, CAST(quantity AS BIGINT) AS quantity,
+      CAST(launch_date AS VARCHAR) AS launch_date),
       strftime(order_date, '%Y-%m-01') AS month_date FROM c_sold""", "c_sold")
 
 METRICS = f"""
