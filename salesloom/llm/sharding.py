@@ -24,7 +24,9 @@ from salesloom.llm.common import column, stored, table
 SHARDS = 8
 ROUNDS = 10  # at most; a round without a move ends it
 ROWS_PER_BUCKET = 50_000
-BUCKETS = 4096  # of the rows that ask to move from one shard to another
+BUCKETS = 4096  # least number of buckets of the rows that ask to move from one shard to another
+HUB_BUCKETS = 64  # buckets that hubs are dealt to; each is cut by row as the count of rows asks for
+HOT_SHARE = 1000
 
 
 def numbered(df: DataFrame, by: Sequence[str], buckets: int, order: str, name: str) -> DataFrame:
@@ -113,6 +115,8 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
         "row", (F.col("number") % shards).cast("int").alias("shard")))
     linked = stored(links.join(placed, "row").select("row", "hub", "shard"))
     cap = math.ceil(total / shards)
+    # a hub may hold most rows: its part of the buckets has to be enough for all of them
+    parts = max(BUCKETS // HUB_BUCKETS, math.ceil(total / ROWS_PER_BUCKET))
 
     def sizes(df: DataFrame) -> dict[int, int]:
         return {s: 0 for s in range(shards)} | {
@@ -133,8 +137,8 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
         wishes = stored(linked.where(F.col("shard").isin(free)).join(best, "hub").where(
             F.col("shard") != F.col("wish")
         ).select("row", "shard", "wish", (
-            F.pmod(F.xxhash64("hub"), F.lit(64)) * (BUCKETS // 64)
-            + F.pmod(F.xxhash64("row"), F.lit(BUCKETS // 64))).alias("bucket")))
+            F.pmod(F.xxhash64("hub"), F.lit(HUB_BUCKETS)) * parts
+            + F.pmod(F.xxhash64("row"), F.lit(parts))).alias("bucket")))
         wanted = {(r["shard"], r["wish"]): r["count"]
                   for r in wishes.groupBy("shard", "wish").count().collect()}
         flow = accepted(held, wanted, cap)
@@ -150,7 +154,8 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
     if plan:
         surplus = placed.where(F.col("shard").isin(*plan)).select(
             "row", "shard", F.lit(-1).alias("wish"),
-            (F.col("linked") * BUCKETS + F.pmod(F.xxhash64("row"), F.lit(BUCKETS))).alias("bucket"))
+            (F.col("linked") * HUB_BUCKETS * parts + F.pmod(F.xxhash64("row"), F.lit(HUB_BUCKETS * parts)))
+            .alias("bucket"))
         leaving = first_rows(surplus, {(s, -1): sum(n for _, n in to) for s, to in plan.items()})
         target = F.lit(None).cast("int")
         for s, to in plan.items():
@@ -164,10 +169,17 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS,
 
 
 def equal_text_links(rows: DataFrame) -> DataFrame:
-    """(row, hub): every row of a text that occurs more than once, with the first of them."""
-    first = rows.groupBy("digest").agg(
-        F.min("row").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(first, "digest").select("row", "hub")
+    """(row, hub): every row of a text that occurs more than once, with the first of them.
+
+    Texts with more than one in ``HOT_SHARE`` of the rows, of which there are fewer than that,
+    go to the rows; only the rows of the others are shuffled.
+    """
+    first = stored(rows.groupBy("digest").agg(
+        F.min("row").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    hot = F.col("n") > rows.count() / HOT_SHARE
+    large = F.broadcast(first.where(hot).select("digest", "hub"))
+    rest = rows.join(large, "digest", "left_anti").join(first.where(~hot).select("digest", "hub"), "digest")
+    return rows.join(large, "digest").select("row", "hub").unionByName(rest.select("row", "hub"))
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from salesloom.llm import decontaminate as D
+from salesloom.llm import sharding as S
 from salesloom.llm.common import table
 from salesloom.llm.components import components
 from salesloom.llm.minhash_dedup import near_duplicates
@@ -178,3 +179,18 @@ def test_every_text_of_an_item_and_short_items_are_found(spark):
                            spark.createDataFrame(items, "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [
         (1, 1), (2, 1), (3, 2), (5, 3), (7, 1), (7, 2), (7, 3)]
+
+
+def test_links_of_frequent_and_rare_texts_against_grouping(spark, monkeypatch):
+    rows = [(i, "hot" if i % 3 else f"text {i // 30}") for i in range(3000)]
+    first: dict[str, int] = {}
+    count: dict[str, int] = {}
+    for i, text in rows:
+        first[text] = min(first.get(text, i), i)
+        count[text] = count.get(text, 0) + 1
+    want = {(i, first[text]) for i, text in rows if count[text] > 1}
+    df = spark.createDataFrame(rows, "row long, digest string")
+    for share in (1, 4, 1000):  # no hot text, one, all
+        monkeypatch.setattr(S, "HOT_SHARE", share)
+        found = S.equal_text_links(df).collect()
+        assert len(found) == len(want) and {tuple(r) for r in found} == want
