@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 import zlib
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.context import Store
+from salesloom.context import ship as ship_package
 
 WHITE = r"[\x20\x09-\x0D]"
 TOKENIZERS = "/opt/tokenizers"
@@ -21,7 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_shipped: set[str] = set()
 BATCH_ROWS = 1000  # texts are long: so many of them go to a Python task at a time, at most
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -29,22 +25,12 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def ship(spark: SparkSession) -> None:
     """Send the package's code to the executors, once an application.
 
-    Functions that run there import it, and executors need not have it installed.
     The session's Arrow batches are cut to ``BATCH_ROWS``, if they are larger, which
     bounds what a task holds on both sides.
     """
     if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        archive = os.path.join(
-            os.path.realpath(tempfile.mkdtemp(prefix="salesloom-code-")), "salesloom-code.zip")
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-            for source in sorted(package.rglob("*.py")):
-                out.write(source, source.relative_to(package.parent))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
+    ship_package(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:
