@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from salesloom import context
-from salesloom.plans import conform, features
+from salesloom.plans import conform, features, marts, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -98,3 +98,21 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         context.shared_root(Cluster())
+
+
+def test_all_checks_read_the_fact_twice(ctx):
+    reads = []
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(ctx, name)
+
+        def __getitem__(self, name):
+            reads.append(name)
+            return ctx[name]
+
+    mart = ctx.store.scratch(marts.product_month(ctx))
+    result = quality.all_checks(Watched(), mart=mart)
+    assert reads.count("fact") == 1  # one frame, of which two are written
+    assert not any("/sales_fact/" in f for f in result.inputFiles())
+    assert result.count() == 9
