@@ -4,8 +4,8 @@ Toxic documents go, one document of each group of near duplicates stays,
 documents that hold benchmark items go, secrets are masked, and what is left is
 encoded.  ``run`` writes each stage's result to the shared folder and reads it
 again.  Rows without doc_id are judged like all others, each under a number of its
-own; rows that repeat a doc_id stay or go together.  NULL and empty texts are never
-toxic, near another or contaminated, hold no secret and have no pieces, so they stay; texts
+own; rows that repeat a doc_id stay or go together.  NULL and empty texts are scored
+like all others, are near no other, hold no item and no secret, and have no pieces; texts
 of any length are judged and encoded whole; an empty table stays empty at every stage.
 """
 
