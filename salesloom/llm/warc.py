@@ -258,12 +258,15 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 schema=RECORD)
         parser.close()
 
+    def chunks(content: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), ((F.length(content) - 1) / CHUNK).cast("int")),
+            lambda k: F.struct(k.alias("number"),
+                               F.substring(content, k * CHUNK + 1, F.lit(CHUNK)).alias("data")))
+
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.expr(f"cast((length(content) - 1) div {CHUNK} as int)")),
-        lambda k: F.struct(k.alias("number"),
-                           F.substring("content", k * CHUNK + 1, F.lit(CHUNK)).alias("data")))
-    return files.where("length > 0").select(F.inline(chunks)).mapInArrow(
+    # a column named inside a lambda is copied from its row for every chunk, a lambda's variable once
+    return files.where("length > 0").select(F.inline(F.transform(F.array("content"), chunks)[0])).mapInArrow(
         run, "page_id long, uri string, record_type string, record_id string, payload_bytes long, "
              "payload_digest string, refers_to_id string")
 

@@ -99,6 +99,23 @@ def test_archives_written_elsewhere(spark, tmp_path):
         [(5, warc.payload_digest(b"hello")), (None, "UNKNOWN")], key=str)
 
 
+def test_reading_takes_time_in_proportion_to_an_archive(spark, tmp_path):
+    import time
+
+    took = {}
+    for megabytes in (1, 8, 40):  # the first one starts the workers
+        folder = tmp_path / str(megabytes)
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(b"".join(
+            record("response", b"%06d" % k * 8_000, WARC_Record_ID=f"<urn:uuid:{k}>") for k in range(21 * megabytes)))
+        begin = time.perf_counter()
+        read = warc.read_archives(spark, str(folder)).select("record_id", "payload_digest").collect()
+        took[megabytes] = time.perf_counter() - begin
+        assert sorted(map(tuple, read)) == sorted(
+            (f"urn:uuid:{k}", warc.payload_digest(b"%06d" % k * 8_000)) for k in range(21 * megabytes))
+    assert took[40] < 6 * max(took[8], 0.5)  # with the square it would be some 15 times
+
+
 def test_damaged_archives_raise():
     whole = record("response", b"hello", WARC_Payload_Digest="sha1:" + "A" * 32)
     with pytest.raises(ValueError, match="digest"):
