@@ -30,6 +30,7 @@ from salesloom.llm.common import column, ship, stored, table
 LEAST_COUNT = 10
 CONTAINED_PERCENT = 50  # a phrase goes if a longer one has this share of its occurrences
 PER_LANGUAGE = 2000
+RANKED_PARTS = 64  # parts of a language, by hash of the phrase, that are cut to its first phrases side by side
 NO_LANGUAGE = "und"
 WORDS_PER_BLOCK = 1 << 19  # words that extend a shard's transducer at a time
 PATHS_PER_SHARD = 1 << 20  # a larger transducer is given out, and its task begins another
@@ -295,9 +296,13 @@ def collocations(docs: DataFrame, least_count: int = LEAST_COUNT, contained_perc
     scored = by_range(counts.unionByName(answered), scores(least_count, contained_percent), SCORED).select(
         F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"),
         "a", "l", "r", "n", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return scored.withColumn("rank", F.row_number().over(order).cast("long")).where(
-        F.col("rank") <= per_language).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # Spark infers no group limit of 2000 rows: without the parts all phrases of a language meet in one task
+    scored = scored.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
+    for by in (["lang", "share"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        scored = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(
+            F.col("rank") <= per_language)
+    return scored.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

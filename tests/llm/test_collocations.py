@@ -111,6 +111,17 @@ def test_no_documents(spark):
     assert collocations.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_languages_are_cut_in_parts_before_they_are_ranked(spark, monkeypatch, parts):
+    monkeypatch.setattr(collocations, "RANKED_PARTS", parts, raising=False)
+    docs = spark.createDataFrame(ODD, SCHEMA)
+    plan = collocations.collocations(docs)._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*\], \[([^\]]*)\], \[[^\]]*\]", plan)  # what they are partitioned by
+    assert [re.sub(r"#\d+L?", "", w) for w in windows] == ["lang", "lang, share"]
+    for few in (1, 2, 1500):
+        assert sorted(map(tuple, collocations.collocations(docs, 3, 50, few).collect())) == brute(ODD, 3, few)
+
+
 def test_scores_are_exact(spark):
     """Products beyond 64 bits: counts set by hand in a range's transducer."""
     paths, _ = paths_of([(b"en", [b"a", b"b"])] * 12)
