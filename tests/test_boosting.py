@@ -155,3 +155,61 @@ def test_odd_tables(spark):
                  [(i, None, None, None, None, i % 2) for i in range(40)]):
         model = boosting.fit(spark.createDataFrame(data, schema), FEATURES, "y", {"m": F.lit(True)}, **HOW)["m"]
         assert 0 < model.predict(np.zeros((1, 4)))[0] < 1
+
+
+def random_block(n, width=4, seed=7):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, width)), 1)
+    x[rng.random((n, width)) < 0.1] = np.nan
+    y = (rng.random(n) < 1 / (1 + np.exp(1 - 2 * np.nan_to_num(x[:, 0])))).astype(float)
+    bins = boosting.Bins([np.unique(np.round(np.linspace(-2, 2, 30), 1)) for _ in range(width)])
+    return x, y, bins
+
+
+def test_seventy_thousand_rows_need_no_exchange_of_sums(spark):
+    df = Store(spark, "test-boosting").scratch(spark.range(70_000).select(
+        "id", (F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 13).cast("double").alias("b"),
+        (F.hash("id") % 5).cast("double").alias("c"), F.lit(None).cast("double").alias("d"),
+        (F.col("id") % 97 + F.hash("id") % 40 > 60).cast("int").alias("y")))
+    context = spark.sparkContext
+    context.setJobGroup("test-boosting", "fit")
+    try:
+        model = boosting.fit(df, FEATURES, "y", {"m": F.lit(True)}, **HOW)["m"]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(model.trees) == 6
+    assert len(context.statusTracker().getJobIdsForGroup("test-boosting")) < HOW["iterations"] * HOW["depth"]
+
+
+def test_sums_of_a_larger_child_are_what_adding_gives():
+    x, y, bins = random_block(5000)
+    held, raw = np.ascontiguousarray(bins.of(x).T), np.zeros(5000)
+    alone = boosting._Alone((0, held, y, raw), bins, 5)
+    gradient, weight = boosting._weights(y, raw)
+    seen = []
+
+    def splits(partial, active, level):
+        found = alone.splits(partial, active, level)
+        for node in active[0].tolist():
+            own = boosting._cell_sums(held, alone.rows_of(partial[0], node), gradient, weight, bins)
+            assert np.array_equal(alone.sums[node], own)
+            seen.append(node)
+        return found
+
+    tree = boosting._grow([0], splits, 4, 5, 9, 0.3)[0]
+    assert len(seen) > 10 and np.array_equal(
+        alone.with_tree(tree)[3], boosting._with_tree((0, held, y, raw), tree, bins)[3])
+
+
+def test_sums_are_those_of_every_row():
+    x, y, bins = random_block(boosting.ROWS_PER_SUM + 3000)
+    held, raw = np.ascontiguousarray(bins.of(x).T), np.linspace(-3, 3, len(y))
+    chance = 1 / (1 + np.exp(-raw))
+    of_row = (np.rint((chance - y) * 2 ** 20), np.rint(chance * (1 - chance) * 2 ** 20), np.ones(len(y)))
+    for rows in (np.arange(len(y)), np.arange(0, len(y), 3), np.arange(50), np.empty(0, np.int64)):
+        sums = boosting._cell_sums(held, rows, *boosting._weights(y, raw), bins)
+        for got, values in zip(sums, of_row):
+            want = np.zeros(bins.cells)
+            for f in range(len(held)):
+                np.add.at(want, bins.first[f] + held[f][rows].astype(int), values[rows])
+            assert np.array_equal(got, want)
