@@ -213,3 +213,33 @@ def test_sums_are_those_of_every_row():
             for f in range(len(held)):
                 np.add.at(want, bins.first[f] + held[f][rows].astype(int), values[rows])
             assert np.array_equal(got, want)
+
+
+def test_scores_do_not_walk_the_trees(monkeypatch, rows, models):
+    x, _ = plain(rows)
+    for name in ("all", "none"):
+        model = models[name]
+        bins = boosting.Bins(model.edges)
+        raw = np.full(len(x), model.base)
+        for tree in model.trees:
+            raw += tree.value[boosting._route(tree, bins.of(x), bins.count, 4)]
+        with monkeypatch.context() as patch:
+            patch.setattr(boosting, "_route", None)
+            assert np.array_equal(model.predict(x), 1 / (1 + np.exp(-raw)))
+
+
+def test_scores_of_trees_with_many_leaves():
+    tree = boosting.Tree.of(7)
+    tree.feature[1:128], tree.bin[1:128] = np.arange(127) % 3, np.arange(127) % 11
+    tree.missing_left[1:128] = np.arange(127) % 2 == 0
+    tree.value[128:] = np.arange(128)
+    x, _, bins = random_block(400, 3)
+    model = boosting.Boosted(["a", "b", "c"], 0.0, bins.edges, [tree])
+    assert model.masks == [None]
+    raw = tree.value[boosting._route(tree, bins.of(x), bins.count, 7)]
+    assert np.array_equal(model.predict(x), 1 / (1 + np.exp(-raw)))
+    tree.feature[64:128] = -1
+    tree.value[64:128] = np.arange(64) / 64
+    few = boosting.Boosted(["a", "b", "c"], 0.0, bins.edges, [tree])
+    raw = tree.value[boosting._route(tree, bins.of(x), bins.count, 7)]
+    assert few.masks != [None] and np.array_equal(few.predict(x), 1 / (1 + np.exp(-raw)))
