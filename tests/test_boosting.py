@@ -243,3 +243,14 @@ def test_scores_of_trees_with_many_leaves():
     few = boosting.Boosted(["a", "b", "c"], 0.0, bins.edges, [tree])
     raw = tree.value[boosting._route(tree, bins.of(x), bins.count, 7)]
     assert few.masks != [None] and np.array_equal(few.predict(x), 1 / (1 + np.exp(-raw)))
+
+
+def test_node_table_scores_are_dealt_to_all_tasks(spark, rows, models):
+    """A small table in one file meets every tree, and its values are found by place."""
+    one = Store(spark, "test-boosting").scratch(rows.select("id", *FEATURES).coalesce(1))
+    scored = boosting.relational_scores(one, models["odd"].nodes(spark), "id", 4)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f"hashpartitioning(id#" in plan and f", {parts}), REPARTITION_BY_NUM" in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "map<" not in scored._jdf.queryExecution().analyzed().treeString()
+    assert scored.count() == 900
