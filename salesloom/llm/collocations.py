@@ -12,6 +12,11 @@ that is a phrase of two words learns how often the longest phrase around it occu
 Bounds of ranges are places in the phrases of all shards (every ``PATHS_PER_KEY``-th
 path of each), so ranges are of like size whatever a single word weighs.  They go
 to every task, one for about ``PATHS_PER_RANGE`` paths.
+
+Shards and ranges both grow with the input.  Beyond ``RANGES_AT_ONCE`` ranges a shard is
+cut by runs of ranges only; the cuts of a run are joined to pieces as large as a shard, and
+those are cut by its ranges.  Ranges that have few paths left after the least count are
+joined to their neighbours before they ask, so questions are as few as what is left allows.
 """
 
 from __future__ import annotations
@@ -36,6 +41,9 @@ WORDS_PER_BLOCK = 1 << 19  # words that extend a shard's transducer at a time
 PATHS_PER_SHARD = 1 << 20  # a larger transducer is given out, and its task begins another
 PATHS_PER_KEY = 1 << 12
 PATHS_PER_RANGE = 1 << 20
+RANGES_AT_ONCE = 256
+RUNS = 128  # of ranges, at least, where there are more
+KEPT_PER_RANGE = 1 << 18  # paths of the least count that ask together
 
 # What ends a piece becomes a full stop, a tab a space, A-Z lower case.
 _STOP = b"."
@@ -177,15 +185,71 @@ def summed(cuts: Iterator[tuple[int, int, bytes]], most: bool = False) -> fsa.Pa
     return fsa.union(held, most) if held else fsa.Paths([], [], [(np.empty(0, np.int64),) * 3] * fsa.DEPTH)
 
 
+def by_run(made: DataFrame, bounds: list[tuple[bytes, ...]], step: int) -> DataFrame:
+    """part, kind, source, blob: the shards cut by runs of ``step`` ranges, then what is joined of a run by its ranges."""
+    def runs(_: int, blob: bytes) -> Iterable[Row]:
+        return ((k, COUNTS, 0, fsa.plain(p)) for k, p in fsa.cut(fsa.unpacked(blob), bounds[step - 1::step]))
+
+    def ranges(run: int, cuts: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        first = run * step
+        own, held, size = bounds[first:first + step - 1], [], 0
+
+        def given() -> pa.RecordBatch:
+            joined = fsa.union(held)
+            held.clear()
+            return _rows([(first + k, COUNTS, 0, fsa.plain(p)) for k, p in fsa.cut(joined, own)])
+
+        for _, _, blob in cuts:
+            held.append(fsa.unpacked(blob))
+            size += len(held[-1])
+            if size >= PATHS_PER_SHARD:
+                yield given()
+                size = 0
+        if held:
+            yield given()
+
+    return by_range(each(made, runs), ranges, MAPPED)
+
+
 def counts_by_range(made: DataFrame, bounds: list[tuple[bytes, ...]], least: int) -> DataFrame:
-    """part, kind, source, blob: the paths of each range with at least ``least`` occurrences."""
+    """part, kind, source, blob, n_paths: the paths of each range with at least ``least`` occurrences."""
     def slices(_: int, blob: bytes) -> Iterable[Row]:
-        return ((k, COUNTS, 0, fsa.packed(p)) for k, p in fsa.cut(fsa.unpacked(blob), bounds))
+        return ((k, COUNTS, 0, fsa.plain(p)) for k, p in fsa.cut(fsa.unpacked(blob), bounds))
+
+    def join(part: int, cuts: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        paths = fsa.pruned(summed(cuts), least)
+        yield _rows([(part, COUNTS, 0, fsa.packed(paths))]).append_column("n_paths", pa.array([len(paths)], pa.int64()))
+
+    whole = made.select(F.lit(0).cast("long").alias("part"), "blob")
+    ranges = len(bounds) + 1
+    if ranges > RANGES_AT_ONCE:
+        dealt = by_run(whole, bounds, math.ceil(ranges / max(RUNS, math.isqrt(ranges))))
+    else:
+        dealt = each(whole, slices)
+    return by_range(dealt, join, f"{MAPPED}, n_paths long")
+
+
+def fewer(counts: DataFrame, bounds: list[tuple[bytes, ...]]) -> tuple[DataFrame, list[tuple[bytes, ...]]]:
+    """The counts of neighbouring ranges that have ``KEPT_PER_RANGE`` paths or less together as one; with the bounds left."""
+    sizes = dict(counts.select("part", "n_paths").collect())
+    kept, group, held = [], {}, 0
+    for part in range(len(bounds) + 1):
+        size = sizes.get(part, 0)
+        if part and held + size > KEPT_PER_RANGE:
+            kept.append(bounds[part - 1])
+            held = 0
+        held += size
+        group[part] = len(kept)
+    if len(kept) == len(bounds):
+        return counts.select("part", "kind", "source", "blob"), bounds
+
+    def moved(part: int, blob: bytes) -> Iterable[Row]:
+        return [(group[part], COUNTS, part, fsa.plain(fsa.unpacked(blob)))]
 
     def join(part: int, cuts: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        yield _rows([(part, COUNTS, 0, fsa.packed(fsa.pruned(summed(cuts), least)))])
+        yield _rows([(part, COUNTS, 0, fsa.packed(summed(cuts)))])
 
-    return by_range(each(made.select(F.lit(0).cast("long").alias("part"), "blob"), slices), join, MAPPED)
+    return stored(by_range(each(counts.select("part", "blob"), moved), join, MAPPED)), kept
 
 
 def phrases(paths: fsa.Paths, least: int) -> Iterator[tuple[tuple[np.ndarray, ...], np.ndarray]]:
@@ -217,7 +281,7 @@ def requests(bounds: list[tuple[bytes, ...]], least: int) -> Callable[[int, byte
                     rows.append(side)
                     weights.append(a + 1 if len(side) > 2 else np.ones(len(a), np.int64))
         asked = fsa.terminal(paths, rows, weights)
-        return ((k, ASKED, part, fsa.packed(p)) for k, p in fsa.cut(asked, bounds))
+        return ((k, ASKED, part, fsa.plain(p)) for k, p in fsa.cut(asked, bounds))
 
     return make
 
@@ -231,10 +295,12 @@ def answers(part: int, rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.Re
     around: list[fsa.Paths] = []
     for _, source, blob in rows:
         asked = fsa.unpacked(blob)
-        yield _rows([(source, ANSWER, part, fsa.packed(fsa.composed(asked, counts)))])
-        around = [fsa.union([*around, asked], most=True)]
-    for paths in around:
-        yield _rows([(part, AROUND, part, fsa.packed(fsa.pruned(paths, 2)))])
+        yield _rows([(source, ANSWER, part, fsa.plain(fsa.composed(asked, counts)))])
+        around.append(asked)
+        if sum(map(len, around[1:])) > PATHS_PER_RANGE // 2:
+            around = [fsa.union(around, most=True)]
+    if around:
+        yield _rows([(part, AROUND, part, fsa.plain(fsa.pruned(fsa.union(around, most=True), 2)))])
 
 
 SCORED = "lang binary, phrase binary, a long, l long, r long, n long, score long"
@@ -248,7 +314,7 @@ def scores(least: int, contained_percent: int) -> Callable[[int, Iterator[tuple[
                 paths = fsa.unpacked(blob)
             elif kind == ANSWER:
                 known.append(fsa.unpacked(blob))
-                if len(known) > 64:
+                if sum(map(len, known[1:])) > PATHS_PER_RANGE // 2:
                     known = [fsa.union(known)]
             else:
                 around = fsa.unpacked(blob)
@@ -290,7 +356,7 @@ def collocations(docs: DataFrame, least_count: int = LEAST_COUNT, contained_perc
     ship(docs.sparkSession)
     made = stored(shards(docs))
     bounds = bounds_of(made)
-    counts = stored(counts_by_range(made, bounds, least_count))
+    counts, bounds = fewer(stored(counts_by_range(made, bounds, least_count)), bounds)
     asked = each(counts.select("part", "blob"), requests(bounds, least_count))
     answered = stored(by_range(counts.unionByName(asked), answers, MAPPED))
     scored = by_range(counts.unionByName(answered), scores(least_count, contained_percent), SCORED).select(

@@ -309,24 +309,29 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
 
 
-def _used(labels: list[bytes], columns: Sequence[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
+def _used(labels: list[bytes], columns: Sequence[np.ndarray]) -> tuple[list[bytes], list[np.ndarray]]:
+    """The labels that occur, in order, and the columns with their new places; small columns look at no other label."""
+    if sum(map(len, columns)) * 4 < len(labels):
+        held, place = np.unique(np.concatenate(columns), return_inverse=True)
+        return [labels[i] for i in held.tolist()], np.split(place, np.cumsum([len(c) for c in columns])[:-1])
     used = np.zeros(len(labels), bool)
     for c in columns:
         used[c] = True
-    return [labels[i] for i in np.flatnonzero(used)], np.cumsum(used) - 1
+    place = np.cumsum(used) - 1
+    return [labels[i] for i in np.flatnonzero(used).tolist()], [place[c] for c in columns]
 
 
 def packed(paths: Paths) -> bytes:
     """The minimal transducer, as bytes."""
-    langs, lang_place = _used(paths.langs, [paths.levels[0][1]])
-    words, word_place = _used(paths.words, [c for _, c, _ in paths.levels[1:]])
+    langs, (lang_place,) = _used(paths.langs, [paths.levels[0][1]])
+    words, word_places = _used(paths.words, [c for _, c, _ in paths.levels[1:]])
     states = np.empty(0, np.int64)  # of the paths one level down
     out = []
     for level in reversed(range(DEPTH)):
         weight = paths.levels[level][2]
         first = _first_child(paths, level)
         n_arcs = np.diff(first)
-        label = word_place[paths.levels[level + 1][1]] if level + 1 < DEPTH else np.empty(0, np.int64)
+        label = word_places[level] if level + 1 < DEPTH else np.empty(0, np.int64)
         arcs = _mixed(_mixed(label) + states.astype(np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(arcs)))
         order, starts, group = _grouped(_mixed(weight) + total[first[1:]] - total[first[:-1]])
@@ -348,14 +353,20 @@ def packed(paths: Paths) -> bytes:
         kept = np.repeat(first[like] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         out.append((_small(weight[like]), _small(counts), _small(label[kept]), _small(states[kept])))
         states = group
-    root = (_small(lang_place[paths.levels[0][1]]), _small(states))
+    root = (_small(lang_place), _small(states))
     blob = pickle.dumps((langs, b"\n".join(words), len(words), out[::-1], root), protocol=5)
     return zstandard.ZstdCompressor(level=1).compress(blob)
 
 
 def unpacked(blob: bytes) -> Paths:
-    langs, words, n_words, states, (label, state) = pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+    """The paths of a minimal transducer or of ``plain`` bytes."""
+    langs, words, n_words, states, *root = pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+    labels = words.split(b"\n") if n_words else []
     levels: list[Level] = []
+    if not root:
+        return Paths(langs, labels, [(np.repeat(np.arange(len(n_arcs)), n_arcs), label.astype(np.int64),
+                                      weight.astype(np.int64)) for n_arcs, label, weight in states])
+    (label, state), = root
     parent = np.zeros(len(label), np.int64)
     label, state = label.astype(np.int64), state.astype(np.int64)
     for weight, n_arcs, arc_label, arc_state in states:
@@ -365,4 +376,16 @@ def unpacked(blob: bytes) -> Paths:
         parent = np.repeat(np.arange(len(state)), n)
         arc = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
         label, state = arc_label.astype(np.int64)[arc], arc_state.astype(np.int64)[arc]
-    return Paths(langs, words.split(b"\n") if n_words else [], levels)
+    return Paths(langs, labels, levels)
+
+
+def plain(paths: Paths) -> bytes:
+    """All paths as bytes, level by level, without joining equal states."""
+    langs, (lang,) = _used(paths.langs, [paths.levels[0][1]])
+    words, labels = _used(paths.words, [c for _, c, _ in paths.levels[1:]])
+    rows, above = [], 1
+    for (parent, _, weight), label in zip(paths.levels, (lang, *labels)):
+        rows.append((_small(np.bincount(parent, minlength=above)), _small(label), _small(weight)))
+        above = len(label)
+    blob = pickle.dumps((langs, b"\n".join(words), len(words), rows), protocol=5)
+    return zstandard.ZstdCompressor(level=1).compress(blob)

@@ -132,3 +132,53 @@ def test_scores_are_exact(spark):
     batch, = collocations.scores(10, 50)(0, rows)
     assert batch.column("score").to_pylist() == [10 ** 6 * (big - 7) ** 2 // (big * (big + 4))]
     assert np.array_equal(batch.column("l").to_pylist(), [big])
+
+
+def small(monkeypatch, **more):
+    for name, value in {"PATHS_PER_RANGE": 16, "PATHS_PER_KEY": 2, "WORDS_PER_BLOCK": 100, "PATHS_PER_SHARD": 40, **more}.items():
+        monkeypatch.setattr(collocations, name, value, raising=False)
+
+
+@pytest.mark.parametrize("at_once, runs, kept", [(1, 1, 1), (2, 3, 1), (2, 3, 12), (256, 128, 1), (256, 128, 1 << 18)])
+def test_runs_of_ranges(spark, monkeypatch, at_once, runs, kept):
+    """Shards cut by runs and then by ranges, and ranges that ask alone or with others, give the same phrases."""
+    small(monkeypatch, RANGES_AT_ONCE=at_once, RUNS=runs, KEPT_PER_RANGE=kept)
+    docs = spark.createDataFrame(ODD, SCHEMA).repartition(3)
+    made = collocations.stored(collocations.shards(docs))
+    bounds = collocations.bounds_of(made)
+    assert len(bounds) >= 3
+    assert sorted(map(tuple, collocations.collocations(docs).collect())) == brute(ODD)
+    assert sorted(map(tuple, collocations.collocations(docs, 3, 50, 2).collect())) == brute(ODD, 3, 2)
+
+
+def test_more_shards_and_ranges_make_no_square_of_cuts(spark, monkeypatch):
+    """What goes to the ranges is joined in runs first, and few paths that are left ask together."""
+    small(monkeypatch, PATHS_PER_RANGE=200, RANGES_AT_ONCE=8, RUNS=4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * k * 37 % 101} v{i % 7}" for k in range(60)), "en")
+                                  for i in range(120)], SCHEMA).repartition(2)
+    made = collocations.stored(collocations.shards(docs))
+    monkeypatch.setattr(collocations, "PATHS_PER_SHARD", 4000)  # of what a run joins
+    bounds = collocations.bounds_of(made)
+    ranges, n_shards = len(bounds) + 1, made.count()
+    assert ranges > 16 and n_shards > 16
+    whole = made.select(F.lit(0).cast("long").alias("part"), "blob")
+    cuts = collocations.by_run(whole, bounds, 4)
+    assert cuts.count() < n_shards * ranges / 3
+    counts = collocations.stored(collocations.counts_by_range(made, bounds, 1))
+    total = Counter()
+    for row in counts.collect():
+        total.update({k: v for k, v in dump(fsa.unpacked(row["blob"])).items() if v})
+    direct = fsa.union([fsa.unpacked(r["blob"]) for r in made.collect()])
+    assert +total == +Counter(dump(direct))
+    few, left = collocations.fewer(counts, bounds)
+    assert few.count() == 1 and left == []
+    assert +Counter(dump(fsa.unpacked(few.first()["blob"]))) == +total
+
+
+@settings(max_examples=60, deadline=None)
+@given(PIECES)
+def test_plain_bytes_hold_all_paths(pieces):
+    paths, counts = paths_of(pieces)
+    assert dump(fsa.unpacked(fsa.plain(paths))) == dump(paths) == counts
+    for _, part in fsa.cut(paths, fsa.every(paths, 3)):
+        assert dump(fsa.unpacked(fsa.plain(part))) == dump(fsa.unpacked(fsa.packed(part)))
